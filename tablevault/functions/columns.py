@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Two independent salts give a 128-bit row identity out of two 64-bit hashes.
-SALTS = (17, 7919)
-
 _LIMBS = 4
 _LIMB_BITS = 16
 _LIMB_MASK = (1 << _LIMB_BITS) - 1
@@ -97,37 +94,38 @@ def null_layout(value: Column, dtype: T.DataType) -> Column:
     return value.isNull()
 
 
-def row_hash(schema: T.StructType, salt: int = SALTS[0]) -> Column:
+def row_hash(schema: T.StructType) -> Column:
     """A 64-bit hash of the whole row, sensitive to NULL positions."""
     values = [comparable(column(f.name), f.dataType) for f in schema.fields]
     nulls = [null_layout(column(f.name), f.dataType) for f in schema.fields]
-    return F.xxhash64(F.lit(salt), *values, *nulls)
+    return F.xxhash64(*values, *nulls)
 
 
-def hash_sums(hashed: Column, prefix: str) -> list[Column]:
-    """Order-free sums of a 64-bit hash, kept as four 16-bit limbs.
+def limb_sums(value: Column, prefix: str) -> list[Column]:
+    """Aggregates that together hold the exact sum of a bigint.
 
-    Each limb sum is a plain bigint, which stays inside generated code and cannot overflow
-    below 1.4e14 rows; one decimal sum of the whole hash is several times slower.
+    The value is summed as four 16-bit limbs, the top one signed. Each limb sum is a plain
+    bigint, which stays inside generated code and cannot overflow below 1.4e14 rows; a
+    decimal sum is several times slower.
     """
-    return [
-        F.coalesce(
-            F.sum(F.shiftrightunsigned(hashed, _LIMB_BITS * i).bitwiseAND(F.lit(_LIMB_MASK))),
-            F.lit(0),
-        ).alias(f"{prefix}_{i}")
-        for i in range(_LIMBS)
-    ]
+    top = _LIMBS - 1
+    limbs = [
+        F.shiftright(value, _LIMB_BITS * i).bitwiseAND(F.lit(_LIMB_MASK)) for i in range(top)
+    ] + [F.shiftright(value, _LIMB_BITS * top)]
+    return [F.sum(limb).alias(f"{prefix}_{i}") for i, limb in enumerate(limbs)]
 
 
-def hash_total(prefix: str) -> Column:
-    """The exact sum of unsigned hashes, put together from its limbs."""
+def limb_total(prefix: str) -> Column:
+    """The sum out of its limbs, as decimal(38,0); NULL if nothing was summed."""
     total = F.lit(0).cast("decimal(38,0)")
     for i in range(_LIMBS):
         weight = F.lit(str(1 << (_LIMB_BITS * i))).cast("decimal(15,0)")
-        total = (total + F.col(f"{prefix}_{i}").cast("decimal(19,0)") * weight).cast("decimal(38,0)")
+        total = (total + F.col(f"{prefix}_{i}").cast("decimal(19,0)") * weight).cast(
+            "decimal(38,0)"
+        )
     return total
 
 
-def hash_total_of(metrics: dict[str, int], prefix: str) -> int:
-    """`hash_total` for limbs that were observed during a write."""
-    return sum(metrics[f"{prefix}_{i}"] << (_LIMB_BITS * i) for i in range(_LIMBS))
+def limb_total_of(metrics: dict[str, int | None], prefix: str) -> int:
+    """`limb_total` of limbs that were observed during a write; 0 if nothing was summed."""
+    return sum((metrics[f"{prefix}_{i}"] or 0) << (_LIMB_BITS * i) for i in range(_LIMBS))

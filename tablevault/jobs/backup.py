@@ -126,7 +126,7 @@ def _check(vault: Vault, row, original: DataFrame | str, snapshot: Snapshot, met
     check_rows, check_data = row["row_count_check"], row["data_sample_check"]
     if check_data and method == FINGERPRINT:
         seen = fingerprint(copy).first()
-        found = (seen["row_count"], int(seen["checksum_1"]), int(seen["checksum_2"]))
+        found = (seen["row_count"], int(seen["checksum"]))
         return {
             "method": method,
             "source_rows": snapshot.row_count,

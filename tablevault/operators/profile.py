@@ -6,48 +6,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import column
+from tablevault.functions.columns import column, limb_sums, limb_total
 
 _SUM_TYPE = "decimal(38,6)"
+_SCALE = 1_000_000
+# Up to here a double scaled to millionths fits a bigint; larger ones are summed as decimals.
+_LARGEST_SCALED = 9e12
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: row count, non-NULL count, sum and average.
+    """One row per column: row count, non-NULL count, total and average.
 
-    Sums are decimal, so they do not depend on the order in which rows arrive. Columns that
-    are not numbers have no sum or average; neither have values a decimal cannot hold, such
-    as infinities. All columns come out of one scan.
+    Each value is rounded to six decimals and then summed exactly, so totals do not depend
+    on the order in which rows arrive. Columns that are not numbers have no total or
+    average, and NaN, infinities and values beyond 32 digits are left out of them. All
+    columns come out of one scan.
     """
-    fields = df.schema.fields
-    totals: list[Column] = [F.count(F.lit(1)).alias("rows")]
-    for i, field in enumerate(fields):
-        value = column(field.name)
-        totals.append(F.count(value).alias(f"n{i}"))
-        if isinstance(field.dataType, T.NumericType):
-            totals.append(F.try_sum(value.try_cast(_SUM_TYPE)).alias(f"s{i}"))
-    entries = [
-        F.struct(
-            F.lit(field.name).alias("column_name"),
-            F.col("rows").alias("row_count"),
-            F.col(f"n{i}").alias("non_null"),
-            (
-                F.col(f"s{i}")
-                if isinstance(field.dataType, T.NumericType)
-                else F.lit(None)
-            ).cast(_SUM_TYPE).alias("total"),
+    metrics: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    entries = []
+    for i, field in enumerate(df.schema.fields):
+        metrics.append(F.count(column(field.name)).alias(f"n{i}"))
+        parts, total = _exact_sum(field, f"s{i}")
+        metrics += parts
+        entries.append(
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.col("rows").alias("row_count"),
+                F.col(f"n{i}").alias("non_null"),
+                total.cast(_SUM_TYPE).alias("total"),
+            )
         )
-        for i, field in enumerate(fields)
-    ]
+    average = F.when(F.col("non_null") > 0, F.col("total").cast("double") / F.col("non_null"))
     return (
-        df.agg(*totals)
+        df.agg(*metrics)
         .select(F.inline(F.array(*entries)))
-        .withColumn(
-            "average",
-            F.when(F.col("non_null") > 0, F.col("total").cast("double") / F.col("non_null")),
-        )
+        .withColumn("average", average)
     )
 
 
+def _exact_sum(field: T.StructField, prefix: str) -> tuple[list[Column], Column]:
+    """Aggregates for the exact sum of a column, and the sum made of them."""
+    value = column(field.name)
+    if isinstance(field.dataType, T.IntegralType):
+        return limb_sums(value.cast("bigint"), prefix), limb_total(prefix)
+    if isinstance(field.dataType, T.FractionalType) and not isinstance(
+        field.dataType, T.DecimalType
+    ):
+        value = value.cast("double")
+        small = F.abs(value) < _LARGEST_SCALED
+        millionths = F.when(small, F.floor(value * _SCALE + 0.5))
+        large = F.try_sum(F.when(~small, value.try_cast(_SUM_TYPE))).alias(f"{prefix}_large")
+        unit = F.lit("0.000001").cast("decimal(7,6)")
+        parts = ((limb_total(prefix) * unit).cast(_SUM_TYPE), F.col(f"{prefix}_large"))
+        # NULL only if there was neither kind of value.
+        total = F.coalesce(F.try_add(*parts), *parts)
+        return [*limb_sums(millionths, prefix), large], total
+    if isinstance(field.dataType, T.DecimalType):
+        return [F.try_sum(value.try_cast(_SUM_TYPE)).alias(prefix)], F.col(prefix)
+    return [], F.lit(None)
+
+
 def profile_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """Both tables' profiles side by side, one row per column, and whether they agree."""
     measures = ("row_count", "non_null", "total", "average")

@@ -44,20 +44,20 @@ def sample_rows(df: DataFrame, n: int, order_by: list[Column] | None = None) ->
 
 def numbered(
     df: DataFrame, rank: str, level: str, ordinal: str, *, ties: list[str] | None = None,
-    width: int = 65536,
+    range_bits: int = 16,
 ) -> DataFrame:
     """Number rows from 1 by `level` descending, then `ordinal`, then `ties`.
 
     A plain `row_number()` over the whole order would send every row to one task. Here rows
-    are numbered inside ranges of `width` ordinals of one level, and each range starts after
-    the rows counted before it, so a hot level is split like any other. Only the range
+    are numbered inside ranges of 2^`range_bits` ordinals of one level, and each range starts
+    after the rows counted before it, so a hot level is split like any other. Only the range
     counts, one row per range, are summed in order.
     """
     top, bucket, rows, before = "__level", "__range", "__rows", "__before"
     level_type = df.select(column(level)).schema[0].dataType
     missing = F.raise_error(F.lit(f"{level} must not be NULL")).cast(level_type)
     ranged = df.withColumn(top, F.coalesce(column(level), missing)).withColumn(
-        bucket, F.floor(column(ordinal) / F.lit(width))
+        bucket, F.shiftright(column(ordinal).cast("bigint"), range_bits)
     )
     earlier = Window.orderBy(F.col(top).desc(), F.col(bucket)).rowsBetween(
         Window.unboundedPreceding, -1

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import column, columns, hash_total_of, quoted
+from tablevault.functions.columns import column, columns, limb_total_of, quoted
 from tablevault.functions.time import AsOf, instant, moment, now
 from tablevault.operators.describe import describe, file_stats, partition_columns
 from tablevault.operators.diff import fingerprint_metrics
@@ -58,7 +58,7 @@ class Snapshot:
     schema: T.StructType
     row_count: int
     partition_by: list[str] = field(default_factory=list)
-    fingerprint: tuple[int, int, int] | None = None
+    fingerprint: tuple[int, int] | None = None
     source_properties: list[dict] | None = None
     seconds: int = 0
 
@@ -163,11 +163,7 @@ class Vault:
             schema=frame.schema,
             row_count=seen["row_count"],
             partition_by=list(partition_by or []),
-            fingerprint=(
-                seen["row_count"],
-                hash_total_of(seen, "checksum_1"),
-                hash_total_of(seen, "checksum_2"),
-            )
+            fingerprint=(seen["row_count"], limb_total_of(seen, "checksum"))
             if with_fingerprint
             else None,
             source_properties=properties,

@@ -76,7 +76,7 @@ def _sample_counts(source: DataFrame, target: DataFrame, n: int) -> DataFrame:
 def _fingerprint_match(source: DataFrame, target: DataFrame) -> DataFrame:
     both = fingerprint(source).union(fingerprint(target))
     return both.agg(
-        (F.countDistinct("row_count", "checksum_1", "checksum_2") == 1).alias("fingerprint_match")
+        (F.countDistinct("row_count", "checksum") == 1).alias("fingerprint_match")
     )
 
 

@@ -50,10 +50,10 @@ def reads_under(df: DataFrame, path: str) -> bool:
     files for one call each.
     """
     spark = df.sparkSession
-    join = spark.sparkContext._jvm.org.apache.commons.lang3.StringUtils.join
+    join = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join
     target = _parts(qualified(spark, path))
     below = (*target[:2], target[2].rstrip("/") + "/")
-    for name in join(df._jdf.inputFiles(), "\n").splitlines():
+    for name in join("\n", df._jdf.inputFiles()).split("\n"):
         scheme, host, file = _parts(name)
         if (scheme, host) == below[:2] and (file == target[2] or file.startswith(below[2])):
             return True
