@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import column, columns, limb_total_of, quoted
+from tablevault.functions.columns import column, limb_total_of, quoted
 from tablevault.functions.time import AsOf, instant, moment, now
 from tablevault.operators.describe import describe, file_stats, partition_columns
 from tablevault.operators.diff import fingerprint_metrics
@@ -312,14 +312,7 @@ class Vault:
         if occupied and not overwrite:
             raise FileExistsError(f"{target} exists; pass overwrite=True to replace it")
         staged = f"{target}.restored-{uuid4().hex}"
-        writer = found.read(self.spark).write
-        if found.partition_by:
-            writer = writer.partitionBy(*found.partition_by)
-        writer.parquet(staged)
-        copy = replace(found, path=staged).read(self.spark)
-        if not verify_clone(found.read(self.spark), copy, checks):
-            filesystem.delete(self.spark, staged)
-            raise RuntimeError(f"Restored copy of {name} does not match version {found.version}")
+        self._write_verified(found, staged, checks)
         if occupied:
             previous = f"{target}.replaced-{uuid4().hex}"
             filesystem.rename(self.spark, target, previous)
@@ -339,6 +332,7 @@ class Vault:
         name: TableName,
         table: str,
         *,
+        location: str | None = None,
         version: int | None = None,
         as_of: AsOf | None = None,
         overwrite: bool = False,
@@ -348,34 +342,64 @@ class Vault:
         """Bring a backup back as the catalog table `table`.
 
         Partition columns, column comments, the table comment and its properties come back
-        with the rows. The restored table is built under another name, verified, and then
-        renamed.
+        with the rows. The rows go to `location`, by default a fresh folder of the table's
+        schema, and are verified there before the table is pointed at them.
         """
         started = time.monotonic()
         found = self.snapshot(name, version, as_of)
         if self.spark.catalog.tableExists(table) and not overwrite:
             raise FileExistsError(f"{table} exists; pass overwrite=True to replace it")
-        staged = _beside(table, f"restored_{uuid4().hex}")
-        writer = found.read(self.spark).write.format("parquet")
+        if location is None:
+            schema, _, last = table.rpartition(".")
+            home = self.spark.catalog.getDatabase(schema or self.spark.catalog.currentDatabase())
+            location = f"{home.locationUri.rstrip('/')}/{last.strip('`')}-{uuid4().hex}"
+        self._write_verified(found, location, checks)
+        self._create_table(table, replace(found, path=location))
+        self._log_restore(found, table, when, started)
+        return found
+
+    def _write_verified(self, found: Snapshot, path: str, checks: Checks) -> None:
+        """Write a snapshot's rows to an unused path and check them there."""
+        writer = found.read(self.spark).write
         if found.partition_by:
             writer = writer.partitionBy(*found.partition_by)
-        writer.saveAsTable(staged)
-        copy = self.spark.table(staged).select(*columns(found.read(self.spark)))
+        writer.parquet(path)
+        copy = replace(found, path=path).read(self.spark)
         if not verify_clone(found.read(self.spark), copy, checks):
-            self.spark.sql(f"DROP TABLE {staged}")
-            raise RuntimeError(f"Restored copy of {name} does not match version {found.version}")
-        for row in found.source_properties or []:
-            if row["section"] == "property":
-                self.spark.sql(
-                    f"ALTER TABLE {staged} SET TBLPROPERTIES "
-                    f"({_literal(row['key'])} = {_literal(row['value'])})"
-                )
-            if row["section"] == "detail" and row["key"] == "comment":
-                self.spark.sql(f"COMMENT ON TABLE {staged} IS {_literal(row['value'])}")
+            filesystem.delete(self.spark, path)
+            raise RuntimeError(
+                f"Restored copy of {found.name} does not match version {found.version}"
+            )
+
+    def _create_table(self, table: str, data: Snapshot) -> None:
+        """Define `table` over a snapshot's files, with what is known of its source."""
+        columns = [
+            f"{quoted(f.name)} {f.dataType.simpleString()}"
+            + ("" if f.nullable else " NOT NULL")
+            + (f" COMMENT {_literal(f.metadata['comment'])}" if "comment" in f.metadata else "")
+            for f in data.schema.fields
+        ]
+        clauses = [f"CREATE TABLE {table} ({', '.join(columns)}) USING parquet"]
+        if data.partition_by:
+            clauses.append(f"PARTITIONED BY ({', '.join(map(quoted, data.partition_by))})")
+        clauses.append(f"LOCATION {_literal(data.path)}")
+        about = data.source_properties or []
+        clauses += [
+            f"COMMENT {_literal(row['value'])}"
+            for row in about
+            if (row["section"], row["key"]) == ("detail", "comment")
+        ]
+        properties = [
+            f"{_literal(row['key'])} = {_literal(row['value'])}"
+            for row in about
+            if row["section"] == "property"
+        ]
+        if properties:
+            clauses.append(f"TBLPROPERTIES ({', '.join(properties)})")
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-        self._log_restore(found, table, when, started)
-        return found
+        self.spark.sql(" ".join(clauses))
+        if data.partition_by:
+            self.spark.catalog.recoverPartitions(table)
 
     def _log_restore(
         self, found: Snapshot, target: str, when: AsOf | None, started: float
@@ -400,21 +424,7 @@ class Vault:
         Registering again points the table at another version; snapshot files are not
         touched.
         """
-        found = self.snapshot(name, version)
-        fields = [
-            f"{quoted(f.name)} {f.dataType.simpleString()}"
-            + (f" COMMENT {_literal(f.metadata['comment'])}" if "comment" in f.metadata else "")
-            for f in found.schema.fields
-        ]
-        layout = ", ".join(quoted(c) for c in found.partition_by)
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(
-            f"CREATE TABLE {table} ({', '.join(fields)}) USING parquet "
-            + (f"PARTITIONED BY ({layout}) " if layout else "")
-            + f"LOCATION {_literal(found.path)}"
-        )
-        if layout:
-            self.spark.catalog.recoverPartitions(table)
+        self._create_table(table, self.snapshot(name, version))
 
     # -- removal -------------------------------------------------------------------------
 
@@ -477,12 +487,6 @@ def deep_clone(
     )
 
 
-def _beside(table: str, suffix: str) -> str:
-    """A name in the same schema as `table`."""
-    schema, dot, last = table.rpartition(".")
-    return f"{schema}{dot}{quoted(last.strip('`') + '_' + suffix)}"
-
-
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

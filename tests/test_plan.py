@@ -1,0 +1,209 @@
+import datetime as dt
+import json
+
+import pytest
+
+from tablevault import due_tables, load_plan, ordered, plan_rows, ranked, with_location
+from tablevault.plans.audit import AUDIT_SCHEMA
+from tablevault.plans.plan import with_due
+
+NOW = dt.datetime(2024, 2, 1, 12, tzinfo=dt.timezone.utc)
+
+EXAMPLE = {
+    "backup_catalog": "backup",
+    "backup_schema": "dr",
+    "catalogs": {
+        "sales": {"schemas": {"transactions": {"tables": {
+            "orders": {"backup_frequency": "daily", "priority": 1},
+            "customers": {"backup_frequency": "weekly", "priority": 2},
+        }}}},
+        "inventory": {"schemas": {"stock": {"tables": {
+            "products": {"backup_frequency": "daily", "priority": 1},
+            "stock": {"backup_frequency": "daily", "priority": 1},
+        }}}},
+        "analytics": {"schemas": {"reports": {"tables": {
+            "reports": {"backup_frequency": "weekly", "priority": 3},
+        }}}},
+    },
+}
+
+
+@pytest.fixture
+def load(spark, tmp_path):
+    def loaded(document):
+        path = tmp_path / "plan.json"
+        path.write_text(json.dumps(document, indent=2))
+        return load_plan(spark, str(path))
+
+    return loaded
+
+
+@pytest.fixture
+def history(spark):
+    def made(*entries):
+        """(table, operation, status, time) rows of the log."""
+        columns = AUDIT_SCHEMA.fieldNames()
+        rows = [
+            dict.fromkeys(columns)
+            | {"catalog": "c", "schema": "s", "table": t, "operation": o, "status": s,
+               "timestamp": at}
+            for t, o, s, at in entries
+        ]
+        return spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], AUDIT_SCHEMA)
+
+    return made
+
+
+def one_table(**entry):
+    return {
+        "backup_catalog": "b", "backup_schema": "d",
+        "catalogs": {"c": {"schemas": {"s": {"tables": {"t": entry}}}}},
+    }
+
+
+def test_tables_in_document_order_with_defaults(load):
+    rows = load(EXAMPLE).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.catalog, r.schema, r.table) for r in rows] == [
+        (0, "sales", "transactions", "orders"),
+        (1, "sales", "transactions", "customers"),
+        (2, "inventory", "stock", "products"),
+        (3, "inventory", "stock", "stock"),
+        (4, "analytics", "reports", "reports"),
+    ]
+    first = rows[0].asDict()
+    assert (first["verify_enabled"], first["row_count_check"], first["data_sample_check"]) == (
+        True, True, True,
+    )
+    assert (first["sample_size"], first["fail_fast"]) == (1000, True)
+    assert (first["max_retries"], first["retry_delay_seconds"]) == (3, 60)
+    assert first["retention_days"] is None and first["storage_type"] is None
+    assert first["use_external_location"] is False
+    assert (first["backup_catalog"], first["backup_schema"]) == ("backup", "dr")
+
+
+def test_both_spellings_and_general_settings(load):
+    document = {
+        "backup_location": {"catalog": "dr_backup", "schema": "dr_metadata"},
+        "storage": {"type": "abfss", "container": "box", "path_prefix": "p",
+                    "use_external_location": False},
+        "settings": {"verification_enabled": False, "retention_days": 20, "max_retries": 5},
+        "metadata": {"table": "ignored"},
+        "catalogs": {"main": {"priority": 1, "schemas": {"sales": {"priority": 9, "tables": {
+            "a": {"backup_frequency": "daily", "priority": 1},
+            "b": {
+                "backup_frequency": "daily", "priority": 2, "retention_days": 30,
+                "verification": {"enabled": True, "sample_size": 10, "row_count_check": False},
+                "error_handling": {"fail_fast": False},
+                "storage": {"type": "s3", "container_name": "own", "path_prefix": "q",
+                            "use_external_location": True},
+            },
+        }}}}},
+    }
+    a, b = load(document).orderBy("ordinal").collect()
+    assert (a.backup_catalog, a.backup_schema) == ("dr_backup", "dr_metadata")
+    assert (a.verify_enabled, a.retention_days, a.max_retries) == (False, 20, 5)
+    assert (a.storage_type, a.container_name, a.use_external_location) == ("abfss", "box", False)
+    assert (b.verify_enabled, b.retention_days, b.sample_size) == (True, 30, 10)
+    assert (b.row_count_check, b.fail_fast, b.priority) == (False, False, 2)
+    assert (b.storage_type, b.container_name, b.use_external_location) == ("s3", "own", True)
+
+
+@pytest.mark.parametrize(
+    ("entry", "missing"),
+    [({"priority": 1}, "backup_frequency"), ({"backup_frequency": "daily"}, "priority")],
+)
+def test_required_fields(load, entry, missing):
+    with pytest.raises(Exception, match=f"missing {missing} in c.s.t"):
+        load(one_table(**entry)).collect()
+
+
+def test_target_is_required(load):
+    document = one_table(backup_frequency="daily", priority=1)
+    del document["backup_schema"]
+    with pytest.raises(Exception, match="missing backup_schema"):
+        load(document).collect()
+
+
+def test_malformed_document_is_an_error(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"catalogs": {"c": ')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        load_plan(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_document_without_tables(load):
+    assert load({"backup_catalog": "b", "backup_schema": "d", "catalogs": {}}).count() == 0
+
+
+def test_many_documents(spark):
+    documents = spark.createDataFrame(
+        [(json.dumps(EXAMPLE), 100), (json.dumps(one_table(backup_frequency="x", priority=9)), 7)],
+        "doc string, first bigint",
+    )
+    rows = ordered(plan_rows(documents, "doc", "first")).collect()
+    assert [(r.table, r.ordinal) for r in rows][:3] == [("t", 7), ("reports", 104), ("customers", 101)]
+
+
+def test_priority_order_is_stable(load):
+    plan = load(EXAMPLE)
+    want = ["reports", "customers", "orders", "products", "stock"]
+    assert [r.table for r in ordered(plan).collect()] == want
+    ranks = {r.backup_rank: r.table for r in ranked(plan).collect()}
+    assert [ranks[i] for i in range(1, 6)] == want
+
+
+@pytest.mark.parametrize(
+    ("frequency", "hours", "due"),
+    [
+        ("daily", 23, False), ("daily", 24, True), ("weekly", 7 * 24 - 1, False),
+        ("weekly", 7 * 24, True), ("monthly", 30 * 24 - 1, False), ("monthly", 30 * 24, True),
+        ("hourly", 10_000, False), ("daily", None, True), ("hourly", None, True),
+        ("Daily", 10_000, False), ("daily", -5, False),
+    ],
+)
+def test_due(load, history, frequency, hours, due):
+    plan = load(one_table(backup_frequency=frequency, priority=1))
+    entries = [] if hours is None else [
+        ("t", "backup", "SUCCESS", NOW - dt.timedelta(hours=hours))
+    ]
+    row = with_due(plan, history(*entries), NOW).first()
+    assert row.due is due
+    assert due_tables(plan, history(*entries), NOW).count() == int(due)
+    # A text without an offset means the session's time zone.
+    assert with_due(plan, history(*entries), "2024-02-01 12:00:00").first().due is due
+
+
+def test_only_successful_backups_of_the_same_table_count(load, history):
+    plan = load(one_table(backup_frequency="daily", priority=1))
+    log = history(
+        ("t", "backup", "FAILED", NOW), ("t", "restore", "SUCCESS", NOW),
+        ("other", "backup", "SUCCESS", NOW),
+        ("t", "backup", "SUCCESS", NOW - dt.timedelta(days=9)),
+        ("t", "backup", "SUCCESS", NOW - dt.timedelta(days=3)),
+    )
+    row = with_due(plan, log, NOW).first()
+    assert row.due_reason == "interval elapsed"
+    assert row.last_backup == dt.datetime(2024, 1, 29, 12)
+
+
+def test_due_tables_come_in_priority_order(load, history):
+    log = history()
+    names = [r.table for r in due_tables(load(EXAMPLE), log, NOW).collect()]
+    assert names == ["reports", "customers", "orders", "products", "stock"]
+
+
+def location(load, **storage):
+    document = one_table(backup_frequency="daily", priority=1) | {"storage": storage}
+    return with_location(load(document)).first().storage_location
+
+
+def test_storage_locations(load):
+    on = {"container_name": "box", "path_prefix": "p/q", "use_external_location": True}
+    assert location(load, type="S3", **on) == "s3://box/p/q/t"
+    assert location(load, type="gcs", **on) == "gs://box/p/q/t"
+    assert location(load, type="abfss", account="acct", **on) == (
+        "abfss://box@acct.dfs.core.windows.net/p/q/t"
+    )
+    assert location(load, type="ftp", **on) is None
+    assert location(load, type="s3", **(on | {"use_external_location": False})) is None
+    assert location(load, type="s3", **(on | {"path_prefix": ""})) == "s3://box/t"
+    assert location(load) is None
