@@ -168,7 +168,7 @@ def _log_failure(
         "error_message": str(error),
         "verification_status": log.SKIPPED,
     }
-    log.append_rows(vault.spark, vault.audit_path, [row])
+    log.append_row(vault.spark, vault.audit_path, row)
 
 
 def cleanup(vault: Vault, plan: DataFrame, *, as_of: AsOf | None = None) -> int:

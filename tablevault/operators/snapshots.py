@@ -219,7 +219,7 @@ class Vault:
             "total_size_bytes": stats["total_size_bytes"],
             "last_modified": stats["last_modified"],
         }
-        log.append_rows(self.spark, self.audit_path, [row])
+        log.append_row(self.spark, self.audit_path, row)
 
     def clone(
         self,
@@ -416,7 +416,7 @@ class Vault:
             "verification_status": log.PASSED,
             "storage_location": target,
         }
-        log.append_rows(self.spark, self.audit_path, [row])
+        log.append_row(self.spark, self.audit_path, row)
 
     def register(self, name: TableName, table: str, version: int | None = None) -> None:
         """Make a version readable by SQL as the external table `table`.
@@ -434,32 +434,30 @@ class Vault:
         A run that stops in between leaves versions unpublished but not deleted; the next
         run finishes them. Returns how many were deleted.
         """
-        entry = {"run_id": uuid4().hex, "timestamp": moment(self.spark, as_of or now())}
-        log.append(
-            versions.select(
-                *[F.lit(value).alias(name) for name, value in entry.items()],
-                F.lit(log.EXPIRE).alias("operation"),
+        run_id, at = uuid4().hex, moment(self.spark, as_of or now())
+
+        def entries(rows: DataFrame, operation: str) -> DataFrame:
+            return rows.select(
+                F.lit(run_id).alias("run_id"),
+                F.lit(at).alias("timestamp"),
+                F.lit(operation).alias("operation"),
                 *log.VERSION_KEY,
                 F.lit(log.SUCCESS).alias("status"),
                 "storage_location",
-            ),
-            self.audit_path,
-        )
+            )
+
+        log.append(entries(versions, log.EXPIRE), self.audit_path)
+        pending = log.undeleted(self.audit())
         dropped = 0
-        done = []
-        for row in log.undeleted(self.audit()).toLocalIterator():
+        for row in pending.toLocalIterator():
             logger.info(
                 "Dropping %s.%s.%s version %s",
                 row["catalog"], row["schema"], row["table"], row["target_version"],
             )
             filesystem.delete(self.spark, row["storage_location"])
-            done.append(row.asDict() | entry | {"operation": log.DROP})
             dropped += 1
-            if len(done) == 1000:
-                log.append_rows(self.spark, self.audit_path, done)
-                done = []
-        if done:
-            log.append_rows(self.spark, self.audit_path, done)
+        if dropped:
+            log.append(entries(pending, log.DROP), self.audit_path)
         return dropped
 
 

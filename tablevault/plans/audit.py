@@ -7,7 +7,7 @@ failed its checks. One writer at a time is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,14 +62,15 @@ PASSED, SKIPPED = "PASSED", "SKIPPED"
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The log at `path`, empty if nothing was logged yet."""
     if not filesystem.exists(spark, path):
-        return spark.createDataFrame([], AUDIT_SCHEMA)
+        return spark.range(0).select(
+            *[F.lit(None).cast(kind).alias(name) for name, kind in AUDIT_COLUMNS.items()]
+        )
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
-def append_rows(spark: SparkSession, path: str, rows: Iterable[Mapping[str, Any]]) -> None:
-    """Append operations given as mappings; columns left out are NULL."""
-    values = [tuple(row.get(name) for name in AUDIT_COLUMNS) for row in rows]
-    append(spark.createDataFrame(values, AUDIT_SCHEMA).coalesce(1), path)
+def append_row(spark: SparkSession, path: str, row: Mapping[str, Any]) -> None:
+    """Append one operation; columns left out are NULL."""
+    append(spark.range(1).select(*[F.lit(v).alias(name) for name, v in row.items()]), path)
 
 
 def append(rows: DataFrame, path: str) -> None:
