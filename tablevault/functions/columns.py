@@ -30,10 +30,10 @@ def columns(df: DataFrame) -> list[Column]:
 def comparable(value: Column, dtype: T.DataType) -> Column:
     """A form of `value` that hashes and sorts by content.
 
-    Maps have no order, so they become entry arrays sorted by key; the change is
-    applied at every nesting level and leaves other types alone.
+    Maps have no order, so they become entry arrays sorted by key, and variants become
+    JSON text. This is done at every nesting level and leaves other types alone.
     """
-    if not _needs_rewrite(dtype):
+    if not holds(dtype, T.MapType, T.VariantType):
         return value
     if isinstance(dtype, T.MapType):
         entries = F.transform(
@@ -52,13 +52,16 @@ def comparable(value: Column, dtype: T.DataType) -> Column:
     return F.to_json(value)  # VariantType
 
 
-def _needs_rewrite(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
+def holds(dtype: T.DataType, *kinds: type[T.DataType]) -> bool:
+    """Whether a type is, or contains at any depth, one of `kinds`."""
+    if isinstance(dtype, kinds):
         return True
     if isinstance(dtype, T.ArrayType):
-        return _needs_rewrite(dtype.elementType)
+        return holds(dtype.elementType, *kinds)
+    if isinstance(dtype, T.MapType):
+        return holds(dtype.keyType, *kinds) or holds(dtype.valueType, *kinds)
     if isinstance(dtype, T.StructType):
-        return any(_needs_rewrite(f.dataType) for f in dtype.fields)
+        return any(holds(f.dataType, *kinds) for f in dtype.fields)
     return False
 
 

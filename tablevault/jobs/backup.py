@@ -9,6 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablevault.functions.sizing import shuffle_for
 from tablevault.functions.time import AsOf, moment, now
 from tablevault.operators.diff import fingerprint
 from tablevault.operators.snapshots import Snapshot, TableName, Vault
@@ -140,7 +141,8 @@ def _check(vault: Vault, row, original: DataFrame | str, snapshot: Snapshot, met
         sample_size=row["sample_size"],
         full_diff=check_data and method == EXACT,
     )
-    return {"method": method, **verify(frame, copy, checks).first().asDict()}
+    with shuffle_for(vault.spark, 2 * snapshot.size):
+        return {"method": method, **verify(frame, copy, checks).first().asDict()}
 
 
 def _log_failure(

@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import columns, limb_sums, limb_total, row_hash
+from tablevault.functions.columns import (
+    column,
+    columns,
+    comparable,
+    holds,
+    limb_sums,
+    limb_total,
+    row_hash,
+)
 from tablevault.operators.rows import sample_rows, whole_row_order
 
 # Bounds the broadcast list of suspect slices: at most this many bigints.
@@ -40,18 +48,33 @@ def signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     a row that makes up much of a table costs one record per task.
     """
     _require_same_schema(source, target)
-    tagged = source.withColumn(_WEIGHT, F.lit(1)).union(target.withColumn(_WEIGHT, F.lit(-1)))
+    tagged = _groupable(source).withColumn(_WEIGHT, F.lit(1)).union(
+        _groupable(target).withColumn(_WEIGHT, F.lit(-1))
+    )
     return tagged.groupBy(*columns(source)).agg(
         F.count(F.when(F.col(_WEIGHT) > 0, 1)).alias(_IN_SOURCE),
         F.count(F.when(F.col(_WEIGHT) < 0, 1)).alias(_IN_TARGET),
     )
 
 
+def _groupable(df: DataFrame) -> DataFrame:
+    """Spark cannot group by variants, so columns that hold them are compared as JSON text."""
+    return df.select(
+        *[
+            comparable(column(f.name), f.dataType).alias(f.name)
+            if holds(f.dataType, T.VariantType)
+            else column(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows that the tables do not share, with multiset semantics.
 
     `_side` is 'missing' for rows the target lacks and 'extra' for rows only it has;
-    `_copies` says how many. The tables are equal exactly when the result is empty.
+    `_copies` says how many. The tables are equal exactly when the result is empty. Variants
+    show as JSON text.
     """
     net = F.col(_IN_SOURCE) - F.col(_IN_TARGET)
     return (

@@ -33,13 +33,19 @@ def whole_row_order(schema: T.StructType) -> list[Column]:
     return [comparable(column(f.name), f.dataType).asc_nulls_first() for f in schema.fields]
 
 
+# Each sampling task hands its `n` first rows to the one that merges them. A table with more
+# input splits than this is read by fewer, longer tasks, so the merge stays small.
+SAMPLE_TASKS = 8192
+
+
 def sample_rows(df: DataFrame, n: int, order_by: list[Column] | None = None) -> DataFrame:
     """The first `n` rows in content order: equal tables give equal samples.
 
-    Ties are whole-row duplicates, so it does not matter which of them is taken. Spark keeps
-    only `n` rows per task on the way.
+    Ties are whole-row duplicates, so it does not matter which of them is taken. No row is
+    sorted that does not make it into some task's first `n`.
     """
-    return df.orderBy(*(order_by or whole_row_order(df.schema))).limit(n)
+    order = order_by or whole_row_order(df.schema)
+    return df.coalesce(SAMPLE_TASKS).orderBy(*order).limit(n)
 
 
 def numbered(
@@ -51,7 +57,8 @@ def numbered(
     A plain `row_number()` over the whole order would send every row to one task. Here rows
     are numbered inside ranges of 2^`range_bits` ordinals of one level, and each range starts
     after the rows counted before it, so a hot level is split like any other. Only the range
-    counts, one row per range, are summed in order.
+    counts, one row per range, are summed in order. Ordinals should be distinct: rows that
+    share one also share a range.
     """
     top, bucket, rows, before = "__level", "__range", "__rows", "__before"
     level_type = df.select(column(level)).schema[0].dataType

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablevault.functions.columns import column, limb_total_of, quoted
+from tablevault.functions.sizing import shuffle_for
 from tablevault.functions.time import AsOf, instant, moment, now
 from tablevault.operators.describe import describe, file_stats, partition_columns
 from tablevault.operators.diff import fingerprint_metrics
@@ -61,6 +62,12 @@ class Snapshot:
     fingerprint: tuple[int, int] | None = None
     source_properties: list[dict] | None = None
     seconds: int = 0
+    stats: dict = field(default_factory=dict)
+
+    @property
+    def size(self) -> int:
+        """Bytes of its files, as far as known."""
+        return self.stats.get("total_size_bytes") or 0
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The version's rows, with the source's column order and types."""
@@ -156,6 +163,7 @@ class Vault:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         seen = observed.get
+        stats = file_stats(self.spark, path).first()
         return Snapshot(
             name=name,
             version=version,
@@ -168,6 +176,7 @@ class Vault:
             else None,
             source_properties=properties,
             seconds=int(time.monotonic() - started),
+            stats=stats.asDict(),
         )
 
     def _next_version(self, name: TableName) -> int:
@@ -186,7 +195,7 @@ class Vault:
         verification_details: dict | None = None,
     ) -> None:
         """Log a copy. With status SUCCESS this is what makes the version exist."""
-        stats = file_stats(self.spark, snapshot.path).first()
+        stats = snapshot.stats
         row = {
             "run_id": run_id or uuid4().hex,
             "timestamp": moment(self.spark, as_of or now()),
@@ -273,6 +282,7 @@ class Vault:
             row_count=row["row_count"],
             partition_by=details["partition_by"],
             source_properties=json.loads(properties) if properties else None,
+            stats={"total_size_bytes": row["total_size_bytes"]},
         )
 
     def snapshot(
@@ -365,7 +375,9 @@ class Vault:
             writer = writer.partitionBy(*found.partition_by)
         writer.parquet(path)
         copy = replace(found, path=path).read(self.spark)
-        if not verify_clone(found.read(self.spark), copy, checks):
+        with shuffle_for(self.spark, 2 * found.size):
+            same = verify_clone(found.read(self.spark), copy, checks)
+        if not same:
             filesystem.delete(self.spark, path)
             raise RuntimeError(
                 f"Restored copy of {found.name} does not match version {found.version}"

@@ -28,7 +28,7 @@ def write_delta_table(df: DataFrame, path: str) -> None:
     if has_delta(spark):
         df.write.format("delta").mode("overwrite").save(path)
     else:
-        Vault(spark, path).clone(df, _NAME)
+        Vault(spark, path).clone(df, _NAME, location=f"{path.rstrip('/')}/data")
 
 
 def read_delta_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -13,10 +13,12 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.driver.memory", "4g")
+        # Many small jobs: start fast rather than optimise long.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

@@ -79,6 +79,15 @@ def test_maps_are_equal_in_any_entry_order(spark):
     assert diff_rows(a, c).schema["m"].dataType == a.schema["m"].dataType
 
 
+def test_variants(spark):
+    a = spark.sql("""SELECT parse_json('{"k": 1, "l": null}') v, array(parse_json('2')) n""")
+    b = spark.sql("""SELECT parse_json('{"k": 2, "l": null}') v, array(parse_json('2')) n""")
+    assert diff_rows(a, a).count() == 0
+    assert diff_rows(a, b).count() == 2
+    assert fingerprint(a).first() != fingerprint(b).first()
+    assert sample_diff(a, b, 3).count() == 2
+
+
 def test_odd_column_names(spark):
     df = spark.sql("SELECT 1 AS `a.b`, 2 AS `c d`, 3 AS `e``f`")
     other = spark.sql("SELECT 1 AS `a.b`, 2 AS `c d`, 4 AS `e``f`")

@@ -1,0 +1,16 @@
+import pytest
+
+from tablevault.functions.sizing import BYTES_PER_PARTITION, MOST_PARTITIONS, SETTING, shuffle_for
+
+
+@pytest.mark.parametrize(
+    ("size", "partitions"),
+    [(None, 2), (1, 2), (BYTES_PER_PARTITION * 10 + 1, 11), (1 << 60, MOST_PARTITIONS)],
+)
+def test_partitions_follow_size_and_go_back(spark, size, partitions):
+    with shuffle_for(spark, size):
+        assert int(spark.conf.get(SETTING)) == partitions
+    assert spark.conf.get(SETTING) == "2"
+    with pytest.raises(KeyError), shuffle_for(spark, size):
+        raise KeyError
+    assert spark.conf.get(SETTING) == "2"
