@@ -17,8 +17,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.driver.memory", "4g")
-        # Many small jobs: start fast rather than optimise long.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
@@ -38,9 +36,9 @@ def name():
 
 @pytest.fixture
 def sample(spark):
-    return spark.createDataFrame(
-        [(1, "test1", 100), (2, "test2", 200), (3, "test3", 300)],
-        "id int, name string, value int",
+    return spark.sql(
+        "SELECT * FROM VALUES (1, 'test1', 100), (2, 'test2', 200), (3, 'test3', 300) "
+        "AS t(id, name, value)"
     )
 
 

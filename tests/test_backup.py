@@ -4,14 +4,20 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tablevault import TableName, cleanup, plan_rows, run_backup
+from tablevault import TableName, cleanup, load_plan, run_backup
 from tablevault.sources import filesystem
 
 DAY = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
 
+def loaded(spark, folder, document):
+    path = folder / "plan.json"
+    path.write_text(json.dumps(document))
+    return load_plan(spark, str(path))
+
+
 @pytest.fixture
-def plan(spark):
+def plan(spark, tmp_path):
     def made(tables, **top):
         document = {
             "backup_catalog": "backup", "backup_schema": "dr",
@@ -20,7 +26,7 @@ def plan(spark):
                 for name, entry in tables.items()
             }}}}},
         } | top
-        return plan_rows(spark.createDataFrame([(json.dumps(document),)], "doc string"), "doc")
+        return loaded(spark, tmp_path, document)
 
     return made
 
@@ -167,7 +173,7 @@ def test_namespace_failure_fails_the_run(vault, plan, source, monkeypatch):
         run_backup(vault, plan({"a": {"error_handling": {"fail_fast": False}}}), source=source)
 
 
-def test_catalog_tables_are_found_by_name(spark, vault, sample):
+def test_catalog_tables_are_found_by_name(spark, vault, sample, tmp_path):
     spark.sql("CREATE SCHEMA IF NOT EXISTS sales")
     spark.sql("DROP TABLE IF EXISTS sales.t")
     sample.write.partitionBy("name").saveAsTable("sales.t")
@@ -176,7 +182,7 @@ def test_catalog_tables_are_found_by_name(spark, vault, sample):
         "catalogs": {"spark_catalog": {"schemas": {"sales": {"tables": {
             "t": {"backup_frequency": "daily", "priority": 1}}}}}},
     }
-    plan = plan_rows(spark.createDataFrame([(json.dumps(document),)], "doc string"), "doc")
+    plan = loaded(spark, tmp_path, document)
     row = run_backup(vault, plan, as_of=DAY).first()
     assert (row.status, row.verification_status) == ("SUCCESS", "PASSED")
     assert json.loads(row.partition_info)["columns"] == ["name"]
