@@ -100,7 +100,7 @@ def _back_up(vault: Vault, row, source: Source, as_of: AsOf, run_id: str, method
         if outcome == log.FAILED:
             raise VerificationError(f"Verification failed for {name}", details)
     except Exception as error:
-        logger.error("Error backing up %s: %s", name, error)
+        logger.error("Backup of %s failed: %s", name, error)
         _log_failure(vault, name, snapshot, error, as_of, run_id)
         if row["fail_fast"]:
             raise
@@ -179,7 +179,7 @@ def cleanup(vault: Vault, plan: DataFrame, *, as_of: AsOf | None = None) -> int:
     try:
         return vault.drop_versions(expired(vault.audit(), plan, as_of), as_of)
     except Exception as error:
-        logger.error("Error cleaning up old backups: %s", error)
+        logger.error("Clean-up failed: %s", error)
         raise
 
 

@@ -47,7 +47,7 @@ def run_etl(
         write_files(kept, target, fmt)
         result = EtlResult(read.get["rows"], written.get["rows"])
     except Exception as error:
-        logger.error("Job failed: %s", error)
+        logger.error("Filtering %s into %s failed: %s", source, target, error)
         raise
     logger.info("Read %d rows and wrote %d to %s", result.rows_read, result.rows_written, target)
     return result

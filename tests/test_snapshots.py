@@ -5,7 +5,17 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tablevault import Checks, TableName, Vault, deep_clone, diff_rows, read_delta_table, write_delta_table
+from tablevault import (
+    Checks,
+    TableName,
+    deep_clone,
+    describe,
+    diff_rows,
+    fingerprint,
+    read_delta_table,
+    verify_clone,
+    write_delta_table,
+)
 from tablevault.plans import audit as log
 from tablevault.sources import filesystem
 
@@ -116,8 +126,6 @@ def test_empty_table(vault, sample, name):
 
 
 def test_copy_job_takes_the_fingerprint(vault, sample, name):
-    from tablevault import fingerprint
-
     copy = vault.copy(sample, name, with_fingerprint=True)
     seen = fingerprint(copy.read(vault.spark)).first()
     assert copy.fingerprint == (seen.row_count, int(seen.checksum))
@@ -189,8 +197,6 @@ def test_table_metadata_comes_back(spark, vault, name):
         vault.restore_table(name, "live.orders")
     vault.restore_table(name, "live.orders", overwrite=True)
     assert sorted(spark.table("live.orders").collect(), key=str) == sorted(before, key=str)
-    from tablevault import describe
-
     rows = {(r.section, r.key): r.value for r in describe(spark, "live.orders").collect()}
     assert rows["comment", "id"] == "the id"
     assert rows["partition", "0"] == "day"
@@ -284,3 +290,11 @@ def test_versioned_path(spark, sample, tmp_path):
     write_delta_table(read_delta_table(spark, path).filter("id > 1"), path)
     assert read_delta_table(spark, path).count() == 2
     assert read_delta_table(spark, path, version=1).count() == 3
+
+
+def test_an_empty_text_as_partition_value_is_reported(spark, vault, name):
+    df = spark.sql("SELECT * FROM VALUES ('', 1), ('x', 2) AS t(code, id)")
+    vault.clone(df, name, partition_by=["code"])
+    assert not verify_clone(df, vault.read(name))
+    vault.clone(df, name)
+    assert verify_clone(df, vault.read(name))
