@@ -15,6 +15,12 @@ import tablevault as tv
 from tablevault.plans.plan import plan_rows, with_due
 from tablevault.sources.scratch import scratch_path
 
+try:
+    import corpus_pipeline
+    from tablevault.llm import queries as llm_queries
+except ImportError:  # the library is complete without these
+    corpus_pipeline = llm_queries = None
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -483,7 +489,10 @@ _REPORT = ["source_rows", "target_rows", "missing_rows", "extra_rows", "passed"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    extra = {}
+    if llm_queries:
+        extra = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return extra | {
         "filter_positive_id": filter_positive_id,
         "filter_malformed_id": filter_malformed_id,
         "etl_csv": etl_csv,
@@ -534,6 +543,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    extra = llm_queries.oracle_sql() if llm_queries else {}
     due = f"""
         WITH plan AS (
             SELECT CAST(c_custkey AS VARCHAR) AS "table", c_custkey AS ordinal,
@@ -600,7 +610,7 @@ def oracle_sql() -> dict[str, str]:
         "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
         "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
     }
-    return {
+    return extra | {
         "filter_positive_id": (
             "SELECT o_orderkey AS id, o_totalprice FROM orders WHERE o_orderkey > 0"
         ),
