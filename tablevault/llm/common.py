@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +50,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def python_tasks(spark: SparkSession, batch: str = "8m") -> None:
+    """Prepare a session for operators that run Python code inside tasks.
+
+    Rows go to Python in batches of about `batch` bytes at most, however long the texts are.
+    This package is sent along as a zip, so executors need not have it installed.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch)
+    context = spark.sparkContext
+    if context.applicationId not in _SENT:
+        folder = tempfile.mkdtemp(prefix="tablevault-code-")
+        package = Path(__file__).parents[1]
+        with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive.filename)  # Spark itself copies it to every executor
+        _SENT.add(context.applicationId)
+
+
+_SENT: set[str] = set()

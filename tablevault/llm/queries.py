@@ -9,6 +9,18 @@ from tablevault.llm.common import table
 from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
 from tablevault.llm.sharding import shard
+from tablevault.llm.substring_dedup import remove_repeated_words
+from tablevault.llm.suffix_dedup import remove_repeated_bytes
+
+
+def op1_radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +34,14 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_words(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_window_hash_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -38,8 +58,10 @@ def op10_window_hash_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_radix_suffixes": op1_radix_suffixes,
         "op5_content_sort": op5_content_sort,
         "op6_virtual_slots": op6_virtual_slots,
+        "op8_recompression": op8_recompression,
         "op10_window_hash_set": op10_window_hash_set,
     }
 
