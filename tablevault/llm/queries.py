@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablevault.llm.common import table
 from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
+from tablevault.llm import language
 from tablevault.llm.sharding import shard
 from tablevault.llm.substring_dedup import remove_repeated_words
 from tablevault.llm.suffix_dedup import remove_repeated_bytes
@@ -34,6 +35,12 @@ def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bitmask_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.predict(rows, language.fit(docs)).drop("text")
+
+
 def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_words(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
@@ -61,6 +68,7 @@ def queries() -> dict:
         "op1_radix_suffixes": op1_radix_suffixes,
         "op5_content_sort": op5_content_sort,
         "op6_virtual_slots": op6_virtual_slots,
+        "op7_bitmask_filters": op7_bitmask_filters,
         "op8_recompression": op8_recompression,
         "op10_window_hash_set": op10_window_hash_set,
     }
