@@ -10,6 +10,7 @@ from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
 from tablevault.llm import language
 from tablevault.llm.sharding import shard
+from tablevault.llm.simhash import near_duplicates
 from tablevault.llm.substring_dedup import remove_repeated_words
 from tablevault.llm.suffix_dedup import remove_repeated_bytes
 
@@ -24,6 +25,13 @@ def op1_radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_segment_popcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -66,6 +74,7 @@ def op10_window_hash_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_radix_suffixes": op1_radix_suffixes,
+        "op3_segment_popcounts": op3_segment_popcounts,
         "op5_content_sort": op5_content_sort,
         "op6_virtual_slots": op6_virtual_slots,
         "op7_bitmask_filters": op7_bitmask_filters,

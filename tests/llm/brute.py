@@ -52,3 +52,32 @@ def repeated_words(docs: list[tuple], length: int = 50) -> dict:
         kept = [w for i, w in enumerate(own) if i not in gone]
         out[doc] = (len(own), len(gone), sha(" ".join(kept)))
     return out
+
+
+def near_duplicates(docs: list[tuple], shingle: int = 4, distance: int = 4) -> dict:
+    """{doc_id: (fingerprint, component_id)}"""
+    import xxhash
+
+    prints = {}
+    for doc, text in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower(text or ""))
+        pieces = [" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)]
+        pieces = pieces or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in pieces]
+        prints[doc] = sum(
+            1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+        )
+    ids = sorted(prints)
+    least = {doc: doc for doc in ids}
+
+    def root(doc):
+        while least[doc] != doc:
+            doc = least[doc]
+        return doc
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= distance:
+                x, y = root(a), root(b)
+                least[max(x, y)] = min(x, y)
+    return {doc: (f"{prints[doc]:016x}", root(doc)) for doc in ids}
