@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablevault.llm import bpe
 from tablevault.llm.common import table
 from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
@@ -32,6 +34,19 @@ def op3_segment_popcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_folded_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents")
+    tokens = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    text = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return bpe.decode(tokens, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(text, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -75,6 +90,7 @@ def queries() -> dict:
     return {
         "op1_radix_suffixes": op1_radix_suffixes,
         "op3_segment_popcounts": op3_segment_popcounts,
+        "op4_folded_merges": op4_folded_merges,
         "op5_content_sort": op5_content_sort,
         "op6_virtual_slots": op6_virtual_slots,
         "op7_bitmask_filters": op7_bitmask_filters,
