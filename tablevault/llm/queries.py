@@ -6,15 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import bpe
-from tablevault.llm.common import table
+from tablevault.llm import bpe, language, warc
+from tablevault.llm.common import stored, table
 from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
-from tablevault.llm import language
 from tablevault.llm.sharding import shard
 from tablevault.llm.simhash import near_duplicates
 from tablevault.llm.substring_dedup import remove_repeated_words
 from tablevault.llm.suffix_dedup import remove_repeated_bytes
+from tablevault.sources.scratch import scratch_path
 
 
 def op1_radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,20 @@ def op1_radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.with_record_types(table(spark, sf_dir, "pages"))
+    files = stored(warc.write_archives(records, scratch_path(spark, "warc")), "warc-files")
+    # One file is one task's work.
+    found = warc.read_archives(files.repartition("file"), payloads=False)
+    return found.select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 def op3_segment_popcounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -89,6 +103,7 @@ def op10_window_hash_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_radix_suffixes": op1_radix_suffixes,
+        "op2_dictionary_warc": op2_dictionary_warc,
         "op3_segment_popcounts": op3_segment_popcounts,
         "op4_folded_merges": op4_folded_merges,
         "op5_content_sort": op5_content_sort,
@@ -100,7 +115,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_content_sort": OP5, "op10_window_hash_set": OP10}
+    return {"op2_dictionary_warc": OP2, "op5_content_sort": OP5, "op10_window_hash_set": OP10}
 
 
 _LOWER = (
@@ -114,6 +129,23 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM normal JOIN groups USING (norm)
 """
 
+OP2 = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), least AS (
+    SELECT payload, min(page_id) AS first FROM payloads GROUP BY payload
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT)
+                     // CAST(pow(32, 3 - i % 4) AS BIGINT)) % 32 AS BIGINT), 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads JOIN least USING (payload)
+"""
+
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP10 = f"""
