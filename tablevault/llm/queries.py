@@ -10,6 +10,7 @@ from tablevault.llm import bpe, language, warc
 from tablevault.llm.common import stored, table
 from tablevault.llm.decontaminate import find_contamination
 from tablevault.llm.exact_dedup import exact_dedup
+from tablevault.llm.line_dedup import drop_recurring_lines, lines_of
 from tablevault.llm.sharding import shard
 from tablevault.llm.simhash import near_duplicates
 from tablevault.llm.substring_dedup import remove_repeated_words
@@ -86,6 +87,19 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines")
+    )
+    return drop_recurring_lines(docs).select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped_lines").cast("long").alias("n_dropped"),
+        "dropped_lines",
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op10_window_hash_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -110,6 +124,7 @@ def queries() -> dict:
         "op6_virtual_slots": op6_virtual_slots,
         "op7_bitmask_filters": op7_bitmask_filters,
         "op8_recompression": op8_recompression,
+        "op9_template_tree": op9_template_tree,
         "op10_window_hash_set": op10_window_hash_set,
     }
 
