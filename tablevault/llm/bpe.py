@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import column
-from tablevault.llm.common import stored, text_or_empty
+from tablevault.llm.common import settled, stored, text_or_empty
 
 # Distinct words that are encoded ahead and sent to all tasks, at most.
 FREQUENT = 1 << 16
@@ -207,9 +207,8 @@ def encode(
     pieces = docs.select(
         column(id_col).alias("id"), pieces_of(text_or_empty(text_col), pattern).alias("pieces")
     )
-    return pieces.select(
-        F.col("id").alias(id_col), F.flatten(F.transform("pieces", encoded)).alias("ids")
-    )
+    ids = F.flatten(F.transform("pieces", encoded))
+    return settled(pieces.select(F.col("id").alias(id_col), ids.alias("ids")))
 
 
 def _known_or_folded(known: dict[str, list[int]], encoder: Encoder):

@@ -37,6 +37,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(_all_ascii(text), F.lower(text)).otherwise(F.array_join(piecewise, " "))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`df`, of which later filters are not pushed into the expressions that made it.
+
+    A pushed filter repeats the expressions of every column it reads, each inside the other,
+    which for nested array functions takes longer than all the rest. No filter passes the
+    generator that this adds.
+    """
+    return df.select(F.inline(F.array(F.struct(*[column(c) for c in df.columns]))))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it again.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import column
-from tablevault.llm.common import ascii_lower, text_or_empty
+from tablevault.llm.common import ascii_lower, settled, text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -114,7 +114,7 @@ def find_contamination(
         )
     )
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
-    return rows.withColumns({"hit_words": flat, "items": items}).select(
+    found = rows.withColumns({"hit_words": flat, "items": items}).select(
         F.col("id").alias(id_col),
         F.size("words").cast("long").alias("n_words"),
         F.size("hit_words").cast("long").alias("n_hit"),
@@ -124,6 +124,7 @@ def find_contamination(
         (F.size("hit_words") > 0).alias("contaminated"),
         *(["row", "words"] if carry else []),
     )
+    return settled(found)
 
 
 _HITS = "array<struct<start:int,length:int,items:array<string>>>"
