@@ -8,8 +8,9 @@ anchors at equal places. Keys are then compared from the coarsest to the finest:
 2. the content of the whole run; equal runs are repeats window by window,
 3. the content of the single window, for the runs that are left in a group of several.
 
-Every pass is a partial aggregation and a join that adaptive execution may split, so a group
-that holds a third of all rows is no bottleneck. Positions travel, texts do not.
+Anchors are counted by a partial aggregation. The rows of an anchor then meet in one task, but
+for those of hot anchors, which are salted and merged, so a group that holds a third of all
+rows is no bottleneck. Positions travel, and of texts only the runs of the last step.
 """
 
 from __future__ import annotations
@@ -29,12 +30,15 @@ NULL_ID = -(1 << 63)
 SPAN_BITS = 8
 # Units (bytes or words) of text that are worked on at once inside a task.
 CHUNK = 1 << 18
+HOT_SHARE = 8192
+HOT_LEAST = 1024
+SALTS = 64
 
 KEYS = "key long"
-RUNS = "key long, run long, doc long, part int, span long"
+RUNS = "key long, run long, span long, doc long, part int"
 REMOVED_TYPE = "array<struct<start:long,end:long>>"
 REMOVED = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-WINDOWS = "one long, two long, doc long, part int, span long"
+UNITS = "key long, doc long, part int, span long, content binary"
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -78,57 +82,117 @@ def repeated_spans(
     texts: DataFrame,
     keys: Callable,
     runs: Callable,
-    windows: Callable,
+    units: Callable,
+    stride: int,
+    width: int,
     within: bool,
 ) -> DataFrame:
     """`texts` with an array `spans` of the repeated windows of each, NULL if it has none.
 
-    `texts` has (id, doc, part, text); `keys`, `runs` and `windows` are functions for
-    `mapInArrow` that give rows of `KEYS`, `RUNS` and, from texts with an array `spans`,
-    `WINDOWS`. With `within`, a window is repeated if it also starts earlier, be it in the
-    same document; else only if it also starts in an earlier document.
+    `texts` has (id, doc, part, text); `keys`, `runs` and `units` are functions for
+    `mapInArrow` that give rows of `KEYS`, `RUNS` and, from texts with an array `spans` of
+    (key, span), `UNITS`. A unit is the content of a run; its window i is the `width` bytes
+    at `stride` times i. With `within`, a window is repeated if it also starts earlier, be
+    it in the same document; else only if it also starts in an earlier document.
+
+    A key's rows meet in one place, so its runs are compared without another shuffle.
     """
     python_tasks(texts.sparkSession)
+    order = ["doc", "part", "span"] if within else ["doc", "part"]
+    place = F.struct(*order)
     base = texts.select("doc", "part", "text")
-    place = F.struct("doc", "part", "span") if within else F.struct("doc", "part")
-    found = base.mapInArrow(runs, RUNS)
-    shared = (
-        base.mapInArrow(keys, KEYS).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(
+        base.mapInArrow(keys, KEYS).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "anchors",
     )
-    candidates = stored(found.join(shared.select("key"), "key", "left_semi"), "runs")
-
-    first = candidates.groupBy("key", "run").agg(F.min(place).alias("first"))
-    several = first.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    judged = candidates.join(first, ["key", "run"]).withColumn("repeat", place > F.col("first"))
-    judged = judged.join(several.withColumn("open", F.lit(True)), "key", "left")
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    # At most HOT_SHARE anchors can each hold one in HOT_SHARE of the runs, which bounds what
+    # is broadcast. Their runs are dealt out as SALTS groups.
+    least = max(total // HOT_SHARE, HOT_LEAST)
+    hot = shared.where(F.col("n") >= least).select("key", F.lit(True).alias("hot"))
+    zero = F.lit(0).cast("long")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc", "part"), F.lit(SALTS))).otherwise(zero)
+    salts = F.sequence(zero, F.when(F.col("n") >= least, zero + (SALTS - 1)).otherwise(zero))
+    wanted = shared.select("key", F.explode(salts).alias("salt"))
+    found = base.mapInArrow(runs, RUNS).join(F.broadcast(hot), "key", "left")
+    found = found.withColumn("hot", F.coalesce("hot", F.lit(False)))
+    found = found.withColumn("salt", salt).join(wanted, ["key", "salt"], "left_semi")
+
+    group = Window.partitionBy("key", "salt")
+    equal = Window.partitionBy("key", "salt", "run")
+    repeat = F.rank().over(equal.orderBy(*order)) > 1
+    open_ = F.min("run").over(group) < F.max("run").over(group)
+    judged = found.withColumn("repeat", repeat).withColumn("open", open_)
     judged = stored(
-        judged.where("repeat OR open").select("doc", "part", "span", "repeat"), "judged"
+        judged.where("repeat OR open OR hot").select(
+            "doc",
+            "part",
+            "span",
+            "repeat",
+            F.col("hot") & ~F.col("repeat"),
+            F.when(~F.col("repeat"), F.col("key")).alias("key"),
+            F.when(~F.col("repeat") & F.col("hot"), F.col("run")).alias("run"),
+        ).toDF("doc", "part", "span", "repeat", "hot", "key", "run"),
+        "judged",
     )
-
-    # Both joins with the texts share one shuffle of them.
-    dealt = texts.repartition("doc", "part")
-    left = judged.where("NOT repeat").groupBy("doc", "part").agg(F.collect_list("span").alias("spans"))
-    single = (
-        dealt.select("doc", "part", "text").join(left, ["doc", "part"]).mapInArrow(windows, WINDOWS)
+    # Of a hot group, the first of each salt are left to compare.
+    few = judged.where("hot")
+    first = few.groupBy("key", "run").agg(F.min(place).alias("first"))
+    several = first.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    few = few.drop("repeat").join(first, ["key", "run"]).join(
+        several.withColumn("several", F.lit(True)), "key", "left"
     )
-    first = single.groupBy("one", "two").agg(
-        F.min(place).alias("first"), F.max(place).alias("last")
+    few = few.withColumn("repeat", place > F.col("first"))
+    columns = ["doc", "part", "span", "key"]
+    settled = judged.where("repeat").select(columns[:3])
+    settled = settled.unionByName(few.where("repeat").select(columns[:3]))
+    unsettled = judged.where("NOT repeat AND NOT hot").select(columns)
+    unsettled = unsettled.unionByName(few.where("NOT repeat AND several").select(columns))
+
+    # Both joins with the texts read all columns of one shuffle of them.
+    dealt = texts.repartition("doc", "part")
+    left = unsettled.groupBy("doc", "part").agg(
+        F.collect_list(F.struct("key", "span")).alias("spans")
     )
-    again = (
-        single.join(first.where("first < last"), ["one", "two"])
-        .where(place > F.col("first"))
-        .select("doc", "part", "span")
+    contents = dealt.join(left, ["doc", "part"]).mapInArrow(units, UNITS)
+    # Equal windows have equal keys, so what follows stays where the key went.
+    count = F.col("span").bitwiseAND(F.lit((1 << SPAN_BITS) - 1)).cast("int")
+    single = (
+        contents.repartition("key")
+        .select("*", F.explode(F.sequence(F.lit(0), count)).alias("i"))
+        .select(
+            "key",
+            "doc",
+            "part",
+            (F.col("span") - count + F.shiftleft(F.col("i").cast("long"), SPAN_BITS)).alias("span"),
+            F.substring("content", F.col("i") * stride + 1, F.lit(width)).alias("window"),
+        )
+        .select(
+            "key",
+            "doc",
+            "part",
+            "span",
+            F.xxhash64("window").alias("one"),
+            F.xxhash64("window", F.lit(1)).alias("two"),
+        )
     )
+    equal = Window.partitionBy("key", "one", "two").orderBy(*order)
+    again = single.withColumn("place", F.rank().over(equal)).where("place > 1")
     spans = (
-        judged.where("repeat")
-        .select("doc", "part", "span")
-        .unionByName(again)
+        settled.unionByName(again.select("doc", "part", "span"))
         .groupBy("doc", "part")
         .agg(F.collect_list("span").alias("spans"))
     )
     return dealt.join(spans, ["doc", "part"], "left")
 
 
+def opened(spans: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, first windows and numbers of windows of the (key, span) of one text."""
+    packed = np.array([s["span"] for s in spans], np.int64)
+    found = np.array([s["key"] for s in spans], np.int64)
+    return found, packed >> SPAN_BITS, (packed & ((1 << SPAN_BITS) - 1)) + 1
+
+
 def covered(spans: list | None, units: int, window: int) -> np.ndarray:
     """Which of a text's units lie in a repeated window."""
     edges = np.zeros(units + 1, np.int32)

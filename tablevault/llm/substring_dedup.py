@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,6 @@ from tablevault.llm import hashing as H
 from tablevault.llm import repeats as R
 
 WINDOW = 50
-ROUNDS = 12
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -105,39 +105,63 @@ def _pairs_named(s: _Level, lo, hi, turn: int) -> _Level:
     return _Level(name, s.a[at], b, l, np.maximum(u, s.u[at]))
 
 
+def _rounds(window: int) -> int:
+    """The round whose symbols windows are filed under: evidence of about a third of a window.
+
+    A round makes symbols a third longer.
+    """
+    return max(0, round(math.log(max(window / 9, 1)) / math.log(4 / 3)))
+
+
 def _anchors(words, lo, hi, starts, window: int):
-    """For each window start: the first symbol of the highest round that the window holds.
+    """For each window start: one of the symbols that the window holds.
 
-    Returns the symbols' names (mixed with their round) and first words. Equal windows hold
-    equal symbols in equal places, and a single word is always held.
+    It is the one of the least hashed name, and of equal ones the first, among those of the
+    highest round, up to the `_rounds` of the window, of which the window holds any. Returns
+    the symbols' names (mixed with their round) and first words. Equal windows hold equal
+    symbols in equal places, and a single word is always held.
     """
-    n = len(words)
-    at = np.arange(n)
-    level = _Level(words, at, at + 1, at, at + 1)
-    levels = [level]
-    for turn in range(1, ROUNDS + 1):
-        level = _pairs_named(_runs_named(level, words, lo, hi), lo, hi, turn)
-        levels.append(level)
-        if not (level.u - level.l <= window).any():
-            break
+    at = np.arange(len(words))
+    levels = [_Level(words, at, at + 1, at, at + 1)]
+    for turn in range(1, _rounds(window) + 1):
+        levels.append(_pairs_named(_runs_named(levels[-1], words, lo, hi), lo, hi, turn))
     name = np.zeros(len(starts), np.uint64)
     place = np.zeros(len(starts), np.int64)
     rest = np.arange(len(starts))
     for turn in range(len(levels) - 1, -1, -1):
         level = levels[turn]
-        found = np.searchsorted(level.l, starts[rest])
-        held = found < len(level)
-        found = np.minimum(found, len(level) - 1)
-        held &= level.u[found] <= starts[rest] + window
-        take, symbol = rest[held], found[held]
-        name[take] = H.mix(level.name[symbol] + np.uint64(turn))
-        place[take] = level.a[symbol]
+        first = np.searchsorted(level.l, starts[rest])
+        last = np.searchsorted(level.u, starts[rest] + window, "right") - 1
+        held = first <= last
+        take = rest[held]
+        names = H.mix(level.name + np.uint64(turn))
+        symbol = _least_between(names, first[held], last[held])
+        name[take], place[take] = names[symbol], level.a[symbol]
         rest = rest[~held]
         if not len(rest):
             break
     return name, place
 
 
+def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Index of the first least value from `first` to `last`, for each pair of bounds."""
+    if not len(first):
+        return first
+    # Row k of the table has the least of 2**k values; two overlapping rows cover any range.
+    power = (np.frexp(last - first + 1)[1] - 1).astype(np.int64)
+    least = np.arange(len(values))
+    out = np.empty(len(first), np.int64)
+    for k in range(int(power.max()) + 1):
+        if k:
+            half = 1 << (k - 1)
+            a, b = least[:-half], least[half:]
+            least = np.where(values[a] <= values[b], a, b)
+        own = power == k
+        a, b = least[first[own]], least[last[own] - (1 << k) + 1]
+        out[own] = np.where(values[a] <= values[b], a, b)
+    return out
+
+
 def _pieces(texts: list, window: int) -> Iterator[tuple]:
     """(words, text bounds, window starts, owner, doc, part and offset of pieces)."""
     names, counts = _named_words([t[2] for t in texts])
@@ -191,28 +215,30 @@ def _runs(texts: list, window: int, full: bool) -> Iterator[pa.RecordBatch]:
         span = (start - begins[own] + offsets[own]) << R.SPAN_BITS | (count - 1)
         owner = owners[own]
         yield pa.record_batch(
-            [key, pa.array(H.signed(H.mix_pair(whole, shape))), pa.array(docs[owner]),
-             pa.array(parts[owner]), pa.array(span)],
-            ["key", "run", "doc", "part", "span"],
+            [key, pa.array(H.signed(H.mix_pair(whole, shape))), pa.array(span),
+             pa.array(docs[owner]), pa.array(parts[owner])],
+            ["key", "run", "span", "doc", "part"],
         )
 
 
-def _windows(texts: list, window: int) -> Iterator[pa.RecordBatch]:
+def _units(texts: list, window: int) -> Iterator[pa.RecordBatch]:
     first, second, _ = _tools()
     for doc, part, text, spans in texts:
         words, _ = _named_words([text])
-        packed = np.asarray(spans, np.int64)
-        counts = (packed & ((1 << R.SPAN_BITS) - 1)) + 1
-        begin = np.repeat(packed >> R.SPAN_BITS, counts)
-        starts = begin + np.arange(len(begin)) - np.repeat(np.cumsum(counts) - counts, counts)
+        key, start, count = R.opened(spans)
+        ends = np.cumsum(count)
+        starts = np.repeat(start, count) + np.arange(ends[-1]) - np.repeat(ends - count, count)
         one = first.between(first.prefix(words), starts, starts + window)
         two = second.between(second.prefix(words), starts, starts + window)
+        hashes = np.stack([one, two], axis=1).tobytes()
+        contents = [
+            hashes[16 * (b - n) : 16 * b] for b, n in zip(ends.tolist(), count.tolist(), strict=True)
+        ]
         yield pa.record_batch(
-            [pa.array(H.signed(one)), pa.array(H.signed(two)),
-             pa.array(np.full(len(starts), doc, np.int64)),
-             pa.array(np.full(len(starts), part, np.int32)),
-             pa.array(starts << R.SPAN_BITS)],
-            ["one", "two", "doc", "part", "span"],
+            [pa.array(key), pa.array(np.full(len(key), doc, np.int64)),
+             pa.array(np.full(len(key), part, np.int32)),
+             pa.array(start << R.SPAN_BITS | (count - 1)), pa.array(contents, pa.binary())],
+            ["key", "doc", "part", "span", "content"],
         )
 
 
@@ -225,8 +251,7 @@ def remove_repeated_words(
     symbols are named as new symbols. A name is a hash of what it stands for, hence the same
     in all documents without a shared dictionary, and a bit of it decides which neighbours
     pair up. Equal stretches of text therefore get equal symbols inside, up to a few at both
-    ends. Each window is filed under the first symbol of the highest round that its words
-    alone imply; symbols that several places share reveal candidates, which are verified by
+    ends. Each window is filed under a symbol that its words alone imply; symbols that several places share reveal candidates, which are verified by
     comparing runs of windows and at last single windows.
 
     Earlier means a smaller id. Returns per input row: id, `n_words`, `removed` (array of
@@ -246,9 +271,9 @@ def remove_repeated_words(
         for texts in R.batches(rows):
             yield from _runs(texts, window, True)
 
-    def windows(rows):
+    def units(rows):
         for texts in R.batches(rows):
-            yield from _windows(texts, window)
+            yield from _units(texts, window)
 
     def cut(rows):
         for batch in rows:
@@ -277,6 +302,6 @@ def remove_repeated_words(
             )
 
     texts = R.identified(docs, id_col, text_col)
-    dealt = R.repeated_spans(texts, keys, runs, windows, within=False)
+    dealt = R.repeated_spans(texts, keys, runs, units, 16, 16, within=False)
     schema = f"`{id_col}` long, n_words long, removed {R.REMOVED_TYPE}, kept string"
     return dealt.select("id", "text", "spans").mapInArrow(cut, schema)

@@ -95,35 +95,24 @@ def _runs(texts: list, length: int, gram: int, full: bool) -> Iterator[pa.Record
         shape = ((anchor - start) << R.SPAN_BITS | count).astype(np.uint64)
         span = (start - begins[own] + offsets[own]) << R.SPAN_BITS | (count - 1)
         yield pa.record_batch(
-            [key, pa.array(H.signed(H.mix_pair(whole, shape))), pa.array(docs[own]),
-             pa.array(parts[own]), pa.array(span)],
-            ["key", "run", "doc", "part", "span"],
+            [key, pa.array(H.signed(H.mix_pair(whole, shape))), pa.array(span),
+             pa.array(docs[own]), pa.array(parts[own])],
+            ["key", "run", "span", "doc", "part"],
         )
 
 
-def _windows(texts: list, length: int) -> Iterator[pa.RecordBatch]:
-    gram_hash, run_hash, gram_symbols, run_symbols = _tools()
+def _units(texts: list, length: int) -> Iterator[pa.RecordBatch]:
     for doc, part, text, spans in texts:
-        packed = np.asarray(spans, np.int64)
-        counts = (packed & ((1 << R.SPAN_BITS) - 1)) + 1
-        begin = np.repeat(packed >> R.SPAN_BITS, counts)
-        within = np.arange(len(begin)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = np.sort(begin + within)
-        for at in range(0, len(text), R.CHUNK):
-            own = starts[np.searchsorted(starts, at) : np.searchsorted(starts, at + R.CHUNK)]
-            if not len(own):
-                continue
-            data = np.frombuffer(text[at : at + R.CHUNK + length - 1], np.uint8)
-            local = own - at
-            one = gram_hash.between(gram_hash.prefix(gram_symbols[data]), local, local + length)
-            two = run_hash.between(run_hash.prefix(run_symbols[data]), local, local + length)
-            yield pa.record_batch(
-                [pa.array(H.signed(one)), pa.array(H.signed(two)),
-                 pa.array(np.full(len(own), doc, np.int64)),
-                 pa.array(np.full(len(own), part, np.int32)),
-                 pa.array(own << R.SPAN_BITS)],
-                ["one", "two", "doc", "part", "span"],
-            )
+        key, start, count = R.opened(spans)
+        contents = [
+            text[a : a + n - 1 + length] for a, n in zip(start.tolist(), count.tolist(), strict=True)
+        ]
+        yield pa.record_batch(
+            [pa.array(key), pa.array(np.full(len(key), doc, np.int64)),
+             pa.array(np.full(len(key), part, np.int32)),
+             pa.array(start << R.SPAN_BITS | (count - 1)), pa.array(contents, pa.binary())],
+            ["key", "doc", "part", "span", "content"],
+        )
 
 
 def remove_repeated_bytes(
@@ -140,7 +129,7 @@ def remove_repeated_bytes(
     significant digit is the suffix's least `gram`-byte string, which neighbouring suffixes
     share, so that they travel as one row; then comes the run of such neighbours as a whole,
     then the suffix's other bytes. Groups that are equal in all digits are exactly the
-    repeated strings. Digits are compared as 64-bit hashes, two or more for each decision.
+    repeated strings. Digits are compared as 64-bit hashes, two or three for each decision.
 
     Earlier means a smaller id or, in one document, an earlier start. Returns per input row:
     id, `n_bytes`, `removed` (array of start and end of the maximal removed runs) and `kept`
@@ -157,9 +146,9 @@ def remove_repeated_bytes(
         for texts in R.batches(rows):
             yield from _runs(texts, length, gram, True)
 
-    def windows(rows):
+    def units(rows):
         for texts in R.batches(rows):
-            yield from _windows(texts, length)
+            yield from _units(texts, length)
 
     def cut(rows):
         for batch in rows:
@@ -181,6 +170,6 @@ def remove_repeated_bytes(
             )
 
     texts = R.identified(docs, id_col, text_col)
-    dealt = R.repeated_spans(texts, keys, runs, windows, within=True)
+    dealt = R.repeated_spans(texts, keys, runs, units, 1, length, within=True)
     schema = f"`{id_col}` long, n_bytes long, removed {R.REMOVED_TYPE}, kept binary"
     return dealt.select("id", "text", "spans").mapInArrow(cut, schema)
