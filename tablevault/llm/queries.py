@@ -31,8 +31,7 @@ def op1_radix_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.with_record_types(table(spark, sf_dir, "pages"))
     files = stored(warc.write_archives(records, scratch_path(spark, "warc")), "warc-files")
-    # One file is one task's work.
-    found = warc.read_archives(files.repartition("file"), payloads=False)
+    found = warc.read_archives(files, payloads=False)
     return found.select(
         F.col("id").alias("page_id"),
         "payload_bytes",

@@ -266,7 +266,9 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
-    return files.select("file").mapInArrow(read, ROWS)
+    # A task for each file, which adaptive execution does not join.
+    each = files.select("file").repartition(max(1, files.count()))
+    return each.mapInArrow(read, ROWS)
 
 
 _ARROW = pa.schema(
