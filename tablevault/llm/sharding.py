@@ -89,8 +89,8 @@ def rebalanced(current: DataFrame, shards: int) -> DataFrame:
     """Edit a map for more shards, or for sizes that have changed.
 
     Every shard keeps its slots, in slot order, up to an equal share of all bytes; only the
-    slots beyond that move, filling up the shards that have room. With one more shard and
-    sizes that were even, slots move into the new shard alone.
+    slots beyond that move, filling up the shards that lack over a twentieth of their share.
+    With one more shard and sizes that were even, slots move into the new shard alone.
     """
     share = F.sum("bytes").over(Window.partitionBy()) / F.lit(shards)
     upto = Window.partitionBy("shard").orderBy("virtual_slot")
@@ -105,7 +105,7 @@ def rebalanced(current: DataFrame, shards: int) -> DataFrame:
         every.join(used, "shard", "left")
         .crossJoin(total)  # one row
         .withColumn("room", F.greatest(F.lit(0.0), F.col("share") - F.coalesce("used", F.lit(0))))
-        .where("room > 0")
+        .where("room > share / 20")
         .withColumn("from", F.coalesce(F.sum("room").over(before), F.lit(0.0)))
         .agg(F.array_sort(F.collect_list(F.struct("from", F.col("shard").alias("to")))).alias("rooms"))
     )

@@ -1,0 +1,160 @@
+"""Operators that drop texts, spans or lines, against brute force and on odd input."""
+
+import brute
+import pytest
+from conftest import words
+from pyspark.sql import functions as F
+
+from tablevault.llm import queries as Q
+from tablevault.llm import repeats
+from tablevault.llm.decontaminate import find_contamination
+from tablevault.llm.exact_dedup import exact_dedup
+from tablevault.llm.line_dedup import drop_recurring_lines
+from tablevault.llm.substring_dedup import remove_repeated_words
+from tablevault.llm.suffix_dedup import remove_repeated_bytes
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_repeated_bytes_of_all_documents(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r[0]: tuple(r)[1:] for r in Q.op1_radix_suffixes(spark, SF).collect()}
+    assert got == brute.repeated_bytes(docs)
+
+
+def test_repeated_words_of_all_documents(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r[0]: tuple(r)[1:] for r in Q.op8_recompression(spark, SF).collect()}
+    assert got == brute.repeated_words(docs)
+
+
+def odd_texts():
+    shared = words(0, 120)
+    return [
+        (1, "a" * 500),
+        (2, "b " * 300),
+        (3, shared),
+        (4, "x " + shared + " y"),
+        (5, None),
+        (6, ""),
+        (7, "ab" * 400),
+        (8, "é" * 150 + "a" * 130),
+        (9, words(60, 90) + " " + words(0, 70)),
+        (10, ("c d " * 100) + shared),
+        (11, "b " * 60),
+    ]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_periodic_shared_and_empty_texts(documents, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(repeats, "HOT_LEAST", 2)
+        monkeypatch.setattr(repeats, "HOT_SHARE", 10**9)
+        monkeypatch.setattr(repeats, "SALTS", 3)
+    monkeypatch.setattr(repeats, "CHUNK", 256)  # texts longer than a chunk
+    docs, rows = documents(*odd_texts()), odd_texts()
+    found = remove_repeated_bytes(docs).collect()
+    want = brute.repeated_bytes(rows)
+    assert {r["doc_id"]: (r["n_bytes"], brute.sha(bytes(r["kept"]))) for r in found} == {
+        k: (v[0], v[3]) for k, v in want.items()
+    }
+    assert {r["doc_id"]: len(r["removed"]) for r in found} == {k: v[2] for k, v in want.items()}
+    found = remove_repeated_words(docs).collect()
+    want = brute.repeated_words(rows)
+    assert {r["doc_id"]: (r["n_words"], brute.sha(r["kept"])) for r in found} == {
+        k: (v[0], v[2]) for k, v in want.items()
+    }
+
+
+def test_rows_that_share_an_id_and_null_ids(documents):
+    text = words(0, 60)
+    docs = documents((None, text), (1, text), (1, "other"), (1, text))
+    found = remove_repeated_words(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["kept"]) for r in found) == sorted(
+        [(0, text), (1, ""), (1, "other"), (1, "")]
+    )
+    kept = sorted((r["doc_id"] or 0, bytes(r["kept"])) for r in remove_repeated_bytes(docs).collect())
+    assert kept == sorted([(0, text.encode()), (1, b""), (1, b"other"), (1, b"")])
+
+
+def test_empty_tables(documents, spark):
+    docs = documents()
+    for found in (
+        remove_repeated_bytes(docs),
+        remove_repeated_words(docs),
+        exact_dedup(docs),
+        drop_recurring_lines(docs),
+        find_contamination(docs, spark.createDataFrame([], "item_id long, text string")),
+    ):
+        assert found.collect() == []
+
+
+def test_exact_dedup_keeps_one_of_each_group(documents):
+    docs = documents((1, "Ab"), (2, "aB"), (3, "É"), (4, "é"), (5, None), (6, ""), (None, "ab"), (2, "aB"))
+    rows = exact_dedup(docs.withColumn("norm", F.lit(1)).withColumn("hash", F.lit(2))).collect()
+    assert sorted((r["doc_id"] or 0, r["keep_id"], r["group_size"]) for r in rows) == [
+        (0, 2, 4), (1, 2, 4), (2, 2, 4), (2, 2, 4), (3, 3, 1), (4, 4, 1), (5, 6, 2), (6, 6, 2),
+    ]
+    assert sum(r["kept"] for r in rows) == 4
+
+
+def test_exact_dedup_merges_salted_groups(documents):
+    docs = documents(*[(i, "Same Text") for i in range(40)], (90, "other"), (91, "other"))
+    rows = exact_dedup(docs, salts=4, hot_share=8).collect()
+    hot = [r for r in rows if r["doc_id"] < 40]
+    assert {(r["keep_id"], r["group_size"]) for r in hot} == {(39, 40)}
+    assert [r["doc_id"] for r in hot if r["kept"]] == [39]
+    assert len({r["text_sha256"] for r in hot}) == 1
+    least = exact_dedup(docs, keep="smallest", salts=4, hot_share=8)
+    assert {r["doc_id"] for r in least.where("kept").collect()} == {0, 90}
+
+
+def contamination(docs, benchmark, **more):
+    return {
+        r["doc_id"]: (r["n_words"], r["hit_words"], r["items"])
+        for r in find_contamination(docs, benchmark, **more).collect()
+    }
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_contamination_by_set_and_by_join(documents, spark, most):
+    benchmark = spark.createDataFrame(
+        [(10, words(0, 12)), (9, words(1, 11)), (3, "Two Words"), (4, None), (5, "...")],
+        "item_id long, text string",
+    )
+    docs = documents(
+        (1, "A " + words(0, 12).upper() + " b"), (2, "one TWO-words two words"), (3, words(0, 9)),
+        (4, None), (5, words(1, 1).upper() + " é " + words(2, 9)),
+    )
+    got = contamination(docs, benchmark, most_broadcast=most)
+    assert got[1] == (14, list(range(1, 13)), ["10", "9"])
+    assert got[2] == (5, [1, 2, 3, 4], ["3"])
+    assert got[3] == (9, [], []) and got[4] == (0, [], []) and got[5] == (11, [], [])
+
+
+def test_filters_on_contamination_stay_out_of_its_expressions(documents, spark):
+    benchmark = spark.createDataFrame([(1, words(0, 12))], "item_id long, text string")
+    found = find_contamination(documents((1, words(0, 30)), (2, "x")), benchmark, carry=True)
+    clean = found.where("NOT contaminated").select("row.*")
+    assert [r["doc_id"] for r in clean.collect()] == [2]
+
+
+def test_recurring_lines_and_their_variants(documents):
+    notice = "Copyright {} by the authors of this page, all rights reserved here"
+    rows = [(i, f"{words(100 * i, 9)}\n{notice.format(2000 + i)}\n\nshort") for i in range(6)]
+    names = ["Ann", "Bob", "Cid", "Dora"]
+    greeting = "Posted by user {} in the forum for general talk today at noon"
+    rows += [(10 + i, greeting.format(n) + f"\n{words(5000 + 100 * i, 8)}") for i, n in enumerate(names)]
+    rows += [(20, None), (21, "")] + [(30 + i, "1 2 3 4 5 six 7.0") for i in range(5)]
+    docs = documents(*rows).withColumn("dropped_lines", F.lit("clash"))
+    got = {r["doc_id"]: r for r in drop_recurring_lines(docs).collect()}
+    assert got[0]["text"] == rows[0][1] and got[0]["dropped_lines"] == []
+    for i in range(1, 6):
+        assert got[i]["dropped_lines"] == [1]
+        assert got[i]["text"] == f"{words(100 * i, 9)}\n\nshort"
+    assert got[10]["dropped_lines"] == []
+    for i in range(1, 4):
+        assert got[10 + i]["dropped_lines"] == [0]
+    assert all(got[30 + i]["dropped_lines"] == [] for i in range(5))  # figures alone
+    assert got[20]["text"] is None and got[21]["text"] == ""
+    assert got[1]["source"] == "s"
