@@ -63,10 +63,23 @@ def etl_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
     source, target = scratch_path(spark, "etl-in"), scratch_path(spark, "etl-out")
     tv.write_files(documents, source, "csv")
-    tv.run_etl(spark, source, target, schema=documents.schema)
+    tv.run_etl(spark, source, target, schema=documents.schema, dialect="own")
     return tv.read_files(spark, target, "csv", documents.schema)
 
 
+def _foreign_csv(**options: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The job over files that plain Spark wrote, with its escapes and the given line ends."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = _table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+        source, target = scratch_path(spark, "etl-in"), scratch_path(spark, "etl-out")
+        documents.write.option("header", "true").options(**options).csv(source)
+        tv.run_etl(spark, source, target, schema=documents.schema)
+        return tv.read_files(spark, target, "csv", documents.schema)
+
+    return query
+
+
 def etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's own counts, on data that is read and written as Parquet."""
     target = scratch_path(spark, "etl-out")
@@ -357,9 +370,27 @@ def sample_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics = tv.profile(_table(spark, sf_dir, "customer"))
+    statistics = statistics.drop("left_out", "checksum")
     return statistics.withColumn("total", F.col("total").cast("double"))
 
 
+def profile_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles beyond 1e13, and decimals that differ from others only in the tenth place."""
+    lineitem = _table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") * 1e13).alias("large"),
+        F.expr("CAST(l_orderkey AS DECIMAL(20,10)) + CAST('0.0000000001' AS DECIMAL(20,10))")
+        .alias("fine"),
+        F.when(F.col("l_linenumber") == 1, F.lit(float("nan")))
+        .otherwise(F.col("l_quantity"))
+        .alias("gaps"),
+    )
+    coarse = lineitem.withColumn("fine", F.col("fine").cast("decimal(30,9)").cast("decimal(21,10)"))
+    values = tv.profile(lineitem).select(
+        "column_name", "non_null", "left_out", F.col("total").cast("double").alias("total")
+    )
+    return values.join(tv.profile_diff(lineitem, coarse).select("column_name", "equal"), "column_name")
+
+
 def profile_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     return tv.profile_diff(orders, _damaged(orders)).select(
@@ -496,6 +527,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filter_positive_id": filter_positive_id,
         "filter_malformed_id": filter_malformed_id,
         "etl_csv": etl_csv,
+        "etl_csv_foreign": _foreign_csv(),
+        "etl_csv_crlf": _foreign_csv(lineSep="\r\n"),
         "etl_counts": etl_counts,
         "roundtrip_parquet": _roundtrip("lineitem", "parquet"),
         "roundtrip_orc": _roundtrip("orders", "orc"),
@@ -529,6 +562,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "diff_rows_in_suspect_buckets": diff_rows_in_suspect_buckets,
         "sample_diff": sample_diff,
         "profile": profile,
+        "profile_extremes": profile_extremes,
         "profile_diff": profile_diff,
         "clone_restore": clone_restore,
         "clone_partitioned": clone_partitioned,
@@ -620,8 +654,9 @@ def oracle_sql() -> dict[str, str]:
                        ELSE CAST(o_orderkey AS VARCHAR) END AS id, o_totalprice
                 FROM orders
             ) WHERE TRY_CAST(id AS BIGINT) > 0""",
-        "etl_csv": (
-            "SELECT doc_id AS id, text, lang, source, n_chars FROM documents WHERE doc_id > 0"
+        **dict.fromkeys(
+            ("etl_csv", "etl_csv_foreign", "etl_csv_crlf"),
+            "SELECT doc_id AS id, text, lang, source, n_chars FROM documents WHERE doc_id > 0",
         ),
         "etl_counts": """
             SELECT count(*) AS rows_read, count(*) FILTER (l_orderkey > 0) AS rows_written,
@@ -710,6 +745,18 @@ def oracle_sql() -> dict[str, str]:
         "diff_rows": diff + diff_result,
         "diff_rows_in_suspect_buckets": diff + diff_result,
         "sample_diff": samples + diff_result,
+        "profile_extremes": """
+            SELECT 'large' AS column_name, count(*) AS non_null, 0 AS left_out,
+                   CAST(sum(CAST(l_quantity AS DECIMAL(18,0))) * 10000000000000 AS DOUBLE) AS total,
+                   true AS equal FROM lineitem
+            UNION ALL
+            SELECT 'fine', count(*), 0, CAST(round(CAST(sum(l_orderkey) AS DECIMAL(30,10))
+                   + count(*) * CAST('0.0000000001' AS DECIMAL(30,10)), 6) AS DOUBLE), false
+            FROM lineitem
+            UNION ALL
+            SELECT 'gaps', count(*), count(*) FILTER (l_linenumber = 1),
+                   CAST(sum(CAST(l_quantity AS DECIMAL(18,0))) FILTER (l_linenumber <> 1) AS DOUBLE),
+                   true FROM lineitem""",
         "profile": f"""
             SELECT * REPLACE (CAST(total AS DOUBLE) AS total),
                    CAST(total AS DOUBLE) / non_null AS average

@@ -5,20 +5,26 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablevault.functions.columns import column, quoted
 from tablevault.operators.rows import positive_ids
 from tablevault.sources.files import read_or_none, write_files
 
 logger = logging.getLogger(__name__)
 
 
+_CORRUPT = "__corrupt_record"
+
+
 @dataclass(frozen=True)
 class EtlResult:
     rows_read: int
     rows_written: int
+    # Rows of which a value, or a text id, could not be read as its type.
+    rows_malformed: int = 0
 
 
 def run_etl(
@@ -29,25 +35,47 @@ def run_etl(
     fmt: str = "csv",
     schema: T.StructType | str | None = None,
     id_col: str = "id",
+    dialect: str = "foreign",
     **read_options,
 ) -> EtlResult | None:
     """Read a dataset, keep rows with a positive id, write them, and say how many.
 
-    Both counts are taken by the write job, so with a `schema` the source is scanned once.
+    All counts are taken by the write job, so with a `schema` the source is scanned once.
+    CSV is read as other writers make it; pass `dialect="own"` for files of this library.
+    Malformed rows are counted, not hidden: with a `schema`, any value that is not of its
+    column's type makes its row malformed and is NULL; a text id is if it is no whole number.
     A source that cannot be opened ends the job without output and without an error; any
     other failure is logged and raised.
     """
+    if fmt.lower() == "csv":
+        read_options["dialect"] = dialect
+        if schema is not None:
+            fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+            read_options["columnNameOfCorruptRecord"] = _CORRUPT
     rows = read_or_none(spark, source, fmt, schema=schema, **read_options)
     if rows is None:
         return None
     try:
         read, written = Observation(), Observation()
         one = F.count(F.lit(1)).alias("rows")
-        kept = positive_ids(rows.observe(read, one), id_col).observe(written, one)
+        malformed = F.count(F.when(_malformed(rows, id_col), 1)).alias("malformed")
+        observed = rows.observe(read, one, malformed).drop(_CORRUPT)
+        kept = positive_ids(observed, id_col).observe(written, one)
         write_files(kept, target, fmt)
-        result = EtlResult(read.get["rows"], written.get["rows"])
+        result = EtlResult(
+            read.get["rows"], written.get["rows"], read.get["malformed"]
+        )
     except Exception as error:
         logger.error("Filtering %s into %s failed: %s", source, target, error)
         raise
     logger.info("Read %d rows and wrote %d to %s", result.rows_read, result.rows_written, target)
     return result
+
+
+def _malformed(rows: DataFrame, id_col: str) -> Column:
+    bad = column(_CORRUPT).isNotNull() if _CORRUPT in rows.columns else F.lit(False)
+    ids = rows[quoted(id_col)]
+    if isinstance(rows.select(ids).schema[0].dataType, T.StringType):
+        bad = bad | (ids.isNotNull() & ids.try_cast("bigint").isNull())
+    return bad

@@ -252,7 +252,9 @@ class Vault:
             if present:
                 return present
         try:
-            snapshot = self.copy(source, name, location=location, partition_by=partition_by)
+            snapshot = self.copy(
+                source, name, location=location, partition_by=partition_by, with_fingerprint=True
+            )
         except Exception as error:
             logger.error("Cannot clone %s: %s", name, error)
             raise
@@ -282,6 +284,7 @@ class Vault:
             row_count=row["row_count"],
             partition_by=details["partition_by"],
             source_properties=json.loads(properties) if properties else None,
+            fingerprint=tuple(map(int, details["fingerprint"])) if details["fingerprint"] else None,
             stats={"total_size_bytes": row["total_size_bytes"]},
         )
 
@@ -313,7 +316,8 @@ class Vault:
         """Bring a backup back to the path `target`.
 
         The rows are written beside the target and verified there. Only then do they take
-        its place, so a live table is never without a good copy.
+        its place by renaming, so a live table is never without a good copy. Where the store
+        has no cheap rename, restore to an unused path instead, or by `restore_table`.
         """
         started = time.monotonic()
         found = self.snapshot(name, version, as_of)
@@ -369,24 +373,74 @@ class Vault:
         return found
 
     def _write_verified(self, found: Snapshot, path: str, checks: Checks) -> None:
-        """Write a snapshot's rows to an unused path and check them there."""
-        writer = found.read(self.spark).write
-        if found.partition_by:
-            writer = writer.partitionBy(*found.partition_by)
-        writer.parquet(path)
-        copy = replace(found, path=path).read(self.spark)
-        with shuffle_for(self.spark, 2 * found.size):
-            same = verify_clone(found.read(self.spark), copy, checks)
-        if not same:
+        """Write a snapshot's rows to an unused path and check them there.
+
+        What the write job has counted must be what was recorded when the backup was made,
+        so a snapshot that lost files is not taken for the table.
+        """
+        try:
+            rows, observed = found.read(self.spark), Observation()
+            writer = rows.observe(observed, *fingerprint_metrics(rows.schema)).write
+            if found.partition_by:
+                writer = writer.partitionBy(*found.partition_by)
+            writer.parquet(path)
+            seen = observed.get
+            if seen["row_count"] != found.row_count:
+                raise RuntimeError(
+                    f"version {found.version} of {found.name} is damaged: it has "
+                    f"{seen['row_count']} rows, {found.row_count} were backed up"
+                )
+            if found.fingerprint and limb_total_of(seen, "checksum") != found.fingerprint[1]:
+                raise RuntimeError(
+                    f"version {found.version} of {found.name} is damaged: its rows are not "
+                    "those that were backed up"
+                )
+            copy = replace(found, path=path).read(self.spark)
+            with shuffle_for(self.spark, 2 * found.size):
+                same = verify_clone(found.read(self.spark), copy, checks)
+            if not same:
+                raise RuntimeError(
+                    f"Restored copy of {found.name} does not match version {found.version}"
+                )
+        except Exception:
             filesystem.delete(self.spark, path)
-            raise RuntimeError(
-                f"Restored copy of {found.name} does not match version {found.version}"
-            )
+            raise
 
     def _create_table(self, table: str, data: Snapshot) -> None:
-        """Define `table` over a snapshot's files, with what is known of its source."""
+        """Define `table` over a snapshot's files, with what is known of its source.
+
+        The definition is made under another name and then takes the table's, so a failure
+        leaves the table that was there as it was.
+        """
+        parser = self.spark._jsparkSession.sessionState().sqlParser()
+        found = parser.parseMultipartIdentifier(table)
+        names = [found.apply(i) for i in range(found.length())]
+
+        def beside(label: str) -> str:
+            return ".".join(map(quoted, [*names[:-1], f"{names[-1]}_{label}_{uuid4().hex}"]))
+
+        fresh, previous = beside("fresh"), beside("previous")
+        self._define(fresh, data)
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+            return
+        try:
+            self.spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
+        except Exception:
+            self.spark.sql(f"DROP TABLE {fresh}")
+            raise
+        try:
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {previous} RENAME TO {table}")
+            self.spark.sql(f"DROP TABLE {fresh}")
+            raise
+        self.spark.sql(f"DROP TABLE {previous}")
+
+    def _define(self, table: str, data: Snapshot) -> None:
+        types = self.spark._jvm.org.apache.spark.sql.types.DataType
         columns = [
-            f"{quoted(f.name)} {f.dataType.simpleString()}"
+            f"{quoted(f.name)} {types.fromJson(f.dataType.json()).sql()}"
             + ("" if f.nullable else " NOT NULL")
             + (f" COMMENT {_literal(f.metadata['comment'])}" if "comment" in f.metadata else "")
             for f in data.schema.fields
@@ -408,7 +462,6 @@ class Vault:
         ]
         if properties:
             clauses.append(f"TBLPROPERTIES ({', '.join(properties)})")
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(" ".join(clauses))
         if data.partition_by:
             self.spark.catalog.recoverPartitions(table)
@@ -434,9 +487,28 @@ class Vault:
         """Make a version readable by SQL as the external table `table`.
 
         Registering again points the table at another version; snapshot files are not
-        touched.
+        touched. A table of that name that does not read a version of `name` is refused.
         """
-        self._create_table(table, self.snapshot(name, version))
+        found = self.snapshot(name, version)
+        if self.spark.catalog.tableExists(table):
+            own = {self._plain(r[0]) for r in self._versions_of(name).collect()}
+            about = {
+                row["key"]: row["value"] for row in describe(self.spark, table).collect()
+                if row["section"] == "detail"
+            }
+            if (about.get("type") or "").upper() != "EXTERNAL" or (
+                self._plain(about.get("location") or "") not in own
+            ):
+                raise ValueError(f"{table} exists and is no registered version of {name}")
+        self._create_table(table, found)
+
+    def _versions_of(self, name: TableName) -> DataFrame:
+        """Where versions of one table lie or have lain."""
+        rows = self._history(name).filter(F.col("operation") == log.BACKUP)
+        return rows.select("storage_location").distinct()
+
+    def _plain(self, path: str) -> str:
+        return filesystem.qualified(self.spark, path).rstrip("/") if path else ""
 
     # -- removal -------------------------------------------------------------------------
 

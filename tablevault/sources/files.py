@@ -19,7 +19,6 @@ CSV_NULL = "\\N"
 # Quote everything, double inner quotes, keep blanks and line breaks, keep microseconds.
 _CSV_COMMON = {
     "escape": '"',
-    "lineSep": "\n",
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -30,14 +29,23 @@ _MICROSECONDS = {
 }
 
 
+# How to read CSV files: as this library writes them, or as Spark and most others do, with
+# backslash escapes and empty fields for NULL.
+CSV_DIALECTS = {
+    "own": {**_CSV_COMMON, "nullValue": CSV_NULL},
+    "foreign": {"escape": "\\", "nullValue": ""},
+}
+
+
 def read_files(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
     *,
-    csv_null: str = CSV_NULL,
+    csv_null: str | None = None,
     multi_line: bool = True,
+    dialect: str = "own",
     **options: str,
 ) -> DataFrame:
     """Read a dataset of any registered format; a missing path or format raises.
@@ -50,9 +58,13 @@ def read_files(
     """
     reader = spark.read.format(fmt).option("header", "true")
     if fmt.lower() == "csv":
+        if dialect not in CSV_DIALECTS:
+            raise ValueError(f"unknown CSV dialect: {dialect}")
         reader = reader.options(
-            **_CSV_COMMON, nullValue=csv_null, multiLine=str(multi_line).lower()
+            **CSV_DIALECTS[dialect], multiLine=str(multi_line).lower(), enforceSchema="false"
         )
+        if csv_null is not None:
+            reader = reader.option("nullValue", csv_null)
     reader = reader.options(**options)
     if schema is None:
         return reader.option("inferSchema", "true").load(path)
@@ -91,7 +103,9 @@ def write_files(
     if fmt.lower() in ("csv", "json"):
         writer_options |= _MICROSECONDS
     if fmt.lower() == "csv":
-        writer_options |= {**_CSV_COMMON, "quoteAll": "true", "nullValue": csv_null}
+        writer_options |= {
+            **_CSV_COMMON, "quoteAll": "true", "nullValue": csv_null, "lineSep": "\n",
+        }
         df = df.select(*[_without_marker(f, csv_null) for f in df.schema.fields])
     writer = df.write.format(fmt).options(**(writer_options | options)).mode("overwrite")
     if partition_by:

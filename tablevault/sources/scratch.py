@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -13,10 +12,10 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder that the session names for intermediate data.
 
-    Only a session without that setting, such as a local test, falls back to a temporary
-    folder of this machine.
+    A session without that setting uses a folder below its warehouse, which all executors
+    share too; never a folder of one machine.
     """
     base = spark.conf.get(CHECKPOINT_SETTING, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tablevault-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/tablevault/{label}-{uuid4().hex}"

@@ -49,3 +49,40 @@ def test_writing_over_the_source_is_refused(spark, tmp_path, sample):
     with pytest.raises(ValueError, match="refusing"):
         run_etl(spark, path, path, fmt="parquet")
     assert spark.read.parquet(path).count() == 3
+
+
+def test_line_ends_of_other_systems(spark, tmp_path):
+    (tmp_path / "in.csv").write_bytes(b"name,id\r\na,1\r\nb,0\r\nc,3\r\n")
+    for schema in (None, "name string, id int"):
+        out = str(tmp_path / f"out-{schema is None}")
+        result = run_etl(spark, str(tmp_path / "in.csv"), out, schema=schema)
+        assert (result.rows_read, result.rows_written, result.rows_malformed) == (3, 2, 0)
+        rows = read_files(spark, out, "csv", "name string, id int").collect()
+        assert sorted((r.name, r.id) for r in rows) == [("a", 1), ("c", 3)]
+
+
+def test_header_in_another_order_is_an_error(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("value,id\n7,-1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        run_etl(
+            spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), schema="id int, value int"
+        )
+
+
+def test_escapes_of_other_writers(spark, tmp_path):
+    text = 'say "hi", ok\nand \\ more'
+    rows = spark.createDataFrame([(1, text), (2, None)], "id int, text string")
+    rows.write.option("header", "true").csv(str(tmp_path / "in"))
+    run_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), schema=rows.schema)
+    got = read_files(spark, str(tmp_path / "out"), "csv", rows.schema).collect()
+    assert sorted((r.id, r.text) for r in got) == [(1, text), (2, None)]
+
+
+def test_malformed_rows_are_counted(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id,value\n1,5\n2x,6\n0,7\n3,y\n")
+    result = run_etl(
+        spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), schema="id int, value int"
+    )
+    assert (result.rows_read, result.rows_written, result.rows_malformed) == (4, 2, 2)
+    result = run_etl(spark, str(tmp_path / "in.csv"), str(tmp_path / "text"))
+    assert (result.rows_read, result.rows_written, result.rows_malformed) == (4, 2, 1)

@@ -19,13 +19,36 @@ def test_counts_sums_and_averages(spark):
     assert got["b"][2] == Decimal(2 * 10**18 - 5)
 
 
-def test_values_no_decimal_can_hold_are_left_out(spark):
+def test_values_no_decimal_can_hold_are_left_out_and_counted(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (double('NaN')), (double('inf')), (1.5D), (-2.25D), (3e13D), (1e300D) t(d)"
     )
     assert rows(profile(df))["d"][:3] == (6, 6, Decimal("29999999999999.250000"))
+    assert profile(df).first().left_out == 3
     only = spark.sql("SELECT double('NaN') AS d")
     assert rows(profile(only))["d"] == (1, 1, None, None)
+    some = spark.sql("SELECT * FROM VALUES (1D), (3D), (double('NaN')) t(d)")
+    assert rows(profile(some))["d"] == (3, 3, Decimal("4.000000"), 2.0)
+
+
+def test_totals_that_do_not_fit_are_null_and_differences_show(spark):
+    def table(*values):
+        return spark.createDataFrame([(v,) for v in values], "d double")
+
+    full = table(1.0, 9e31, 9e31)
+    assert rows(profile(full))["d"] == (3, 3, None, None)
+    assert not profile_diff(full, table(1.0, 9e31, 8e31)).first().equal
+    assert profile_diff(full, full.repartition(3)).first().equal
+    nan = table(1.0, float("nan"))
+    assert profile_diff(nan, nan).first().equal
+    assert not profile_diff(nan, table(1.0, float("inf"))).first().equal
+
+
+def test_decimals_count_at_their_own_scale(spark):
+    fine = [spark.sql(f"SELECT CAST('1.000000000{i}' AS DECIMAL(20,10)) AS d") for i in (1, 2)]
+    assert not profile_diff(*fine).first().equal
+    large = spark.sql(f"SELECT CAST(v AS DECIMAL(38,0)) AS d FROM VALUES ('{'9' * 35}'), ('5') t(v)")
+    assert rows(profile(large))["d"] == (2, 2, None, None)
 
 
 def test_sums_of_extremes_do_not_overflow(spark):

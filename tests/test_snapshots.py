@@ -298,3 +298,57 @@ def test_an_empty_text_as_partition_value_is_reported(spark, vault, name):
     assert not verify_clone(df, vault.read(name))
     vault.clone(df, name)
     assert verify_clone(df, vault.read(name))
+
+
+def test_restore_of_a_damaged_snapshot_fails(spark, vault, name, tmp_path):
+    rows = spark.range(1000).repartition(4)
+    path = vault.clone(rows, name).path
+    next(Path(path).glob("part-*.parquet")).unlink()
+    target = str(tmp_path / "target")
+    with pytest.raises(RuntimeError, match="damaged"):
+        vault.restore(name, target)
+    assert not Path(target).exists() and not list(tmp_path.glob("target*"))
+
+
+def test_restore_sees_changed_rows(spark, vault, name, tmp_path):
+    path = vault.clone(spark.range(10), name).path
+    spark.range(10, 20).write.mode("overwrite").parquet(path)
+    with pytest.raises(RuntimeError, match="not those"):
+        vault.restore(name, str(tmp_path / "target"))
+
+
+def test_restored_table_with_quoted_nested_names(spark, vault, name):
+    rows = spark.sql("SELECT 1 AS id, named_struct('a b', 2, 'c', array(named_struct('d.e', 3))) AS s")
+    vault.clone(rows, name)
+    spark.sql("CREATE TABLE quoted_live AS SELECT 7 AS id")
+    vault.restore_table(name, "quoted_live", overwrite=True)
+    assert spark.table("quoted_live").collect() == rows.collect()
+    spark.sql("DROP TABLE quoted_live")
+
+
+def test_a_failing_definition_leaves_the_live_table(spark, vault, name, sample, monkeypatch):
+    vault.clone(sample, name)
+    spark.sql("CREATE TABLE still_live AS SELECT 7 AS id")
+
+    def fail(*_):
+        raise ValueError("cannot define")
+
+    monkeypatch.setattr(vault, "_define", fail)
+    with pytest.raises(ValueError, match="cannot define"):
+        vault.restore_table(name, "still_live", overwrite=True)
+    assert spark.table("still_live").collect()[0].id == 7
+    spark.sql("DROP TABLE still_live")
+
+
+def test_register_replaces_nothing_but_its_own(spark, vault, name, sample):
+    vault.clone(sample, name)
+    spark.sql("CREATE TABLE managed_live AS SELECT id FROM range(100)")
+    with pytest.raises(ValueError, match="no registered version"):
+        vault.register(name, "managed_live")
+    assert spark.table("managed_live").count() == 100
+    vault.register(name, "own_view")
+    vault.clone(sample.limit(1), name)
+    vault.register(name, "own_view")
+    assert spark.table("own_view").count() == 1
+    spark.sql("DROP TABLE managed_live")
+    spark.sql("DROP TABLE own_view")
