@@ -9,13 +9,14 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablevault.functions.columns import quoted
 from tablevault.functions.sizing import shuffle_for
 from tablevault.functions.time import AsOf, moment, now
 from tablevault.operators.diff import fingerprint
 from tablevault.operators.snapshots import Snapshot, TableName, Vault
 from tablevault.operators.verify import Checks, verify
 from tablevault.plans import audit as log
-from tablevault.plans.plan import due_tables, with_location
+from tablevault.plans.plan import STORAGE_TYPES, due_tables, with_location
 from tablevault.plans.retention import expired
 
 logger = logging.getLogger(__name__)
@@ -45,7 +46,9 @@ def run_backup(
     'sample' compares the plan's `sample_size` first rows. A table's `row_count_check` and
     `data_sample_check` switch the two checks off.
 
-    A copy is published once it passed. With a table's `fail_fast`, an error or a failed
+    A copy is published once it passed, and registered in the backup schema, where SQL reads
+    it as `<catalog>_<schema>_<table>`. Tables that share an external address get folders of
+    their catalog and schema below it. With a table's `fail_fast`, an error or a failed
     check ends the run with that error; without it, the run goes on. Both are logged.
     """
     if method not in (EXACT, FINGERPRINT, SAMPLE):
@@ -53,36 +56,48 @@ def run_backup(
     as_of = as_of or now()
     run_id = uuid4().hex
     due = with_location(due_tables(plan, vault.audit(), as_of))
-    _require_distinct_locations(with_location(plan))
+    shared = _shared_locations(with_location(plan))
+    namespaces = {
+        (r["backup_catalog"], r["backup_schema"]): vault.create_namespace(*r)
+        for r in plan.select("backup_catalog", "backup_schema").distinct().collect()
+    }
     # One row per due table. Each row's copy and checks are Spark jobs of their own.
-    namespaces = set()
     for row in due.toLocalIterator():
-        namespace = (row["backup_catalog"], row["backup_schema"])
-        if namespace not in namespaces:
-            vault.create_namespace(*namespace)
-            namespaces.add(namespace)
-        _back_up(vault, row, source, as_of, run_id, method)
+        namespace = namespaces[row["backup_catalog"], row["backup_schema"]]
+        _back_up(vault, row, source, as_of, run_id, method, shared, namespace)
     return vault.audit().filter(F.col("run_id") == run_id)
 
 
-def _require_distinct_locations(plan: DataFrame) -> None:
-    shared = (
-        plan.filter("storage_location IS NOT NULL")
-        .groupBy("storage_location")
-        .count()
-        .filter("count > 1")
-        .first()
-    )
-    if shared:
-        raise ValueError(f"several tables would be stored at {shared['storage_location']}")
+def registered_name(namespace: str, name: TableName) -> str:
+    """The table in the backup schema by which SQL reads a table's newest passed backup."""
+    return f"{namespace}.{quoted('_'.join((name.catalog, name.schema, name.table)))}"
 
 
-def _back_up(vault: Vault, row, source: Source, as_of: AsOf, run_id: str, method: str) -> None:
-    name = TableName(row["catalog"], row["schema"], row["table"])
-    home = f"{vault.root}/{TableName(row['backup_catalog'], row['backup_schema'], '').path}"
-    location = row["storage_location"] or f"{home.rstrip('/')}/{name.path}"
-    if row["use_external_location"] and not row["storage_location"]:
+def _shared_locations(plan: DataFrame) -> set[str]:
+    """External addresses that several tables of the plan have in common."""
+    counts = plan.filter("storage_location IS NOT NULL").groupBy("storage_location").count()
+    return {r["storage_location"] for r in counts.filter("count > 1").collect()}
+
+
+def _location(vault: Vault, row, name: TableName, shared: set[str]) -> str:
+    external = row["storage_location"]
+    if external in shared:
+        return f"{external.removesuffix('/' + name.table)}/{name.path}"
+    if external:
+        return external
+    if row["use_external_location"]:
+        if (row["storage_type"] or "").lower() in STORAGE_TYPES:
+            raise ValueError(f"storage of {name} lacks an account or a container")
         logger.error("Unsupported storage for %s: %s", name, row["storage_type"])
+    home = TableName(row["backup_catalog"], row["backup_schema"], "").path
+    return f"{vault.root}/{home}".rstrip("/") + f"/{name.path}"
+
+
+def _back_up(
+    vault: Vault, row, source: Source, as_of: AsOf, run_id: str, method: str, shared: set[str],
+    namespace: str,
+) -> None:
+    name = TableName(row["catalog"], row["schema"], row["table"])
     check_data = row["verify_enabled"] and row["data_sample_check"]
     snapshot: Snapshot | None = None
     try:
@@ -90,7 +105,7 @@ def _back_up(vault: Vault, row, source: Source, as_of: AsOf, run_id: str, method
         snapshot = vault.copy(
             original,
             name,
-            location=location,
+            location=_location(vault, row, name, shared),
             with_fingerprint=check_data and method == FINGERPRINT,
         )
         outcome, details = log.SKIPPED, None
@@ -112,6 +127,10 @@ def _back_up(vault: Vault, row, source: Source, as_of: AsOf, run_id: str, method
         verification_status=outcome,
         verification_details=details,
     )
+    try:
+        vault.register(name, registered_name(namespace, name), snapshot.version)
+    except Exception as error:  # the backup itself is good and published
+        logger.error("Cannot register the backup of %s: %s", name, error)
 
 
 class VerificationError(RuntimeError):

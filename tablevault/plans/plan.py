@@ -139,6 +139,9 @@ def _required(value: Column, dtype: str, field: str, where: Column) -> Column:
     return F.coalesce(value, F.raise_error(problem).cast(dtype))
 
 
+STORAGE_TYPES = ("abfss", "s3", "gcs")
+
+
 def with_location(plan: DataFrame) -> DataFrame:
     """Add `storage_location`: the external address of a table's backups.
 

@@ -189,14 +189,6 @@ def test_catalog_tables_are_found_by_name(spark, vault, sample, tmp_path):
     assert "partition" in row.source_table_properties
 
 
-def test_tables_may_not_share_a_location(vault, plan, source):
-    storage = {"type": "s3", "container_name": "box", "path_prefix": "", "use_external_location": True}
-    document = plan({"a": {}}, storage=storage)
-    clash = document.union(document.withColumn("schema", F.lit("other")))
-    with pytest.raises(ValueError, match="s3://box/a"):
-        run_backup(vault, clash, source=source, as_of=DAY)
-
-
 def test_unknown_storage_falls_back_to_the_vault(vault, plan, source):
     storage = {"type": "ftp", "container_name": "box", "path_prefix": "", "use_external_location": True}
     row = run_backup(vault, plan({"a": {}}, storage=storage), source=source, as_of=DAY).first()
@@ -227,3 +219,40 @@ def test_cleanup_removes_failed_copies(spark, vault, plan, source, damaging):
     assert cleanup(vault, tables, as_of=DAY + dt.timedelta(days=7)) == 0
     assert cleanup(vault, tables, as_of=DAY + dt.timedelta(days=8)) == 1
     assert not filesystem.exists(spark, path)
+
+
+def test_sql_reads_the_newest_passed_backup(vault, plan, source, spark):
+    tables = plan({"a": {}}, backup_schema="seen")
+    run_backup(vault, tables, source=source, as_of=DAY)
+    assert spark.sql("SELECT count(*) FROM backup_seen.shop_sales_a").first()[0] == 3
+    later = lambda name: source(name).limit(1)
+    run_backup(vault, tables, source=later, as_of=DAY + dt.timedelta(days=2))
+    assert spark.sql("SELECT count(*) FROM backup_seen.shop_sales_a").first()[0] == 1
+    spark.sql("DROP SCHEMA backup_seen CASCADE")
+
+
+def test_the_namespace_is_made_even_if_nothing_is_due(vault, plan, source, spark):
+    tables = plan({"a": {"backup_frequency": "daily"}}, backup_schema="idle")
+    run_backup(vault, tables, source=source, as_of=DAY)
+    spark.sql("DROP SCHEMA backup_idle CASCADE")
+    run_backup(vault, tables, source=source, as_of=DAY)
+    assert spark.catalog.databaseExists("backup_idle")
+    spark.sql("DROP SCHEMA backup_idle CASCADE")
+
+
+def test_tables_of_one_name_get_folders_of_their_own(vault, spark):
+    from tablevault.jobs.backup import _location
+
+    row = {"storage_location": "s3://c/p/orders", "use_external_location": True}
+    shared, name = {"s3://c/p/orders"}, TableName("shop", "sales", "orders")
+    assert _location(vault, row, name, shared) == "s3://c/p/shop/sales/orders"
+    assert _location(vault, row, name, set()) == "s3://c/p/orders"
+
+
+def test_an_address_without_account_is_an_error(vault, plan, source):
+    storage = {"type": "abfss", "container": "box", "path_prefix": "p", "use_external_location": True}
+    log = run_backup(
+        vault, plan({"a": {"fail_fast": False}}, storage=storage), source=source, as_of=DAY
+    )
+    row = log.first()
+    assert row.status == "FAILED" and "lacks an account" in row.error_message
