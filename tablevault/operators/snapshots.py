@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from urllib.parse import quote
 from uuid import uuid4
@@ -24,6 +25,8 @@ from tablevault.sources import filesystem
 
 logger = logging.getLogger(__name__)
 
+DELETERS = 16
+
 
 @dataclass(frozen=True)
 class TableName:
@@ -532,14 +535,17 @@ class Vault:
 
         log.append(entries(versions, log.EXPIRE), self.audit_path)
         pending = log.undeleted(self.audit())
-        dropped = 0
-        for row in pending.toLocalIterator():
+
+        def drop(row) -> None:
             logger.info(
                 "Dropping %s.%s.%s version %s",
                 row["catalog"], row["schema"], row["table"], row["target_version"],
             )
             filesystem.delete(self.spark, row["storage_location"])
-            dropped += 1
+
+        # Stores delete slowly one by one; an error of any of them ends the removal unlogged.
+        with ThreadPoolExecutor(DELETERS) as pool:
+            dropped = sum(1 for _ in pool.map(drop, pending.toLocalIterator()))
         if dropped:
             log.append(entries(pending, log.DROP), self.audit_path)
         return dropped

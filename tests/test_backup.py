@@ -250,9 +250,13 @@ def test_tables_of_one_name_get_folders_of_their_own(vault, spark):
 
 
 def test_an_address_without_account_is_an_error(vault, plan, source):
-    storage = {"type": "abfss", "container": "box", "path_prefix": "p", "use_external_location": True}
+    storage = {
+        "type": "abfss", "container_name": "box", "path_prefix": "p",
+        "use_external_location": True,
+    }
     log = run_backup(
-        vault, plan({"a": {"fail_fast": False}}, storage=storage), source=source, as_of=DAY
+        vault, plan({"a": {"error_handling": {"fail_fast": False}}}, storage=storage), source=source,
+        as_of=DAY,
     )
     row = log.first()
     assert row.status == "FAILED" and "lacks an account" in row.error_message
