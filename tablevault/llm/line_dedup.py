@@ -28,8 +28,8 @@ def _tokens(line: Column) -> Column:
     )
 
 
-def _described(lines: Column, least_tokens: int) -> Column:
-    """Number, leaf and masked hash of each line that has enough tokens.
+def _described(lines: Column, least_tokens: int, with_line: bool = False) -> Column:
+    """Number, leaf, masked hash and perhaps text of each line that has enough tokens without digits.
 
     The leaf is the place in the tree: the number of tokens and the leading ones.
     """
@@ -39,18 +39,33 @@ def _described(lines: Column, least_tokens: int) -> Column:
             F.array(_tokens(line)),
             lambda t: F.struct(
                 i.alias("at"),
-                F.size(t).alias("n"),
+                F.size(F.filter(t, lambda x: x != WILDCARD)).alias("n"),
                 F.xxhash64(F.size(t), F.slice(t, 1, DEPTH)).alias("leaf"),
                 F.xxhash64(t).alias("masked"),
+                *([line.alias("line")] if with_line else []),
             ),
         )[0]
 
     return F.filter(F.transform(lines, describe), lambda d: d["n"] >= least_tokens)
 
 
+def line_places(
+    docs: DataFrame, id_col: str, text_col: str, least_tokens: int = LEAST_TOKENS
+) -> DataFrame:
+    """(doc, content, at, leaf, masked) of each line with enough fixed tokens; no texts."""
+    rows = docs.select(
+        column(id_col).alias("doc"),
+        F.xxhash64(text_or_empty(text_col)).alias("content"),
+        lines_of(text_or_empty(text_col)).alias("lines"),
+    )
+    return rows.select(
+        "doc", "content", F.inline(_described(F.col("lines"), least_tokens))
+    ).drop("n")
+
+
 def recurring_templates(
     docs: DataFrame,
-    id_col: str = "doc_id",
+    places: DataFrame,
     text_col: str = "text",
     least_documents: int = LEAST_DOCUMENTS,
     least_tokens: int = LEAST_TOKENS,
@@ -58,19 +73,16 @@ def recurring_templates(
 ) -> DataFrame:
     """Lines, as (leaf, masked), whose template recurs, and the first document that has it.
 
-    Lines are filed in a tree of fixed depth: by their number of tokens, then by the first
-    `DEPTH` tokens. Tokens with digits are variable. In a leaf, a place is constant if one
-    token holds it in at least half of the leaf's lines (counted once per document), else it
-    is variable; lines that agree with the constants in `similarity` of all tokens form the
-    leaf's template, each other line is a template of its own. A template recurs if at least
-    `least_documents` documents hold it. Columns: leaf, masked, template, first (least id)
-    and documents.
+    `places` are the `line_places` of `docs`, stored. Lines are filed in a tree of fixed
+    depth: by their number of tokens, then by the first `DEPTH` tokens. Tokens with digits
+    are variable. In a leaf, a place is constant if one token holds it in at least half of
+    the leaf's lines (counted once per document), else it is variable; lines that agree with
+    the constants in `similarity` of all tokens form the leaf's template, each other line is
+    a template of its own. A template recurs if at least `least_documents` documents hold
+    it. Columns: leaf, masked, template, first (least id) and documents.
     """
-    rows = docs.select(column(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    each = rows.select("doc", _described(lines_of(F.col("text")), least_tokens).alias("lines"))
     # A line counts once per document, however often it stands there.
-    distinct = F.array_distinct(F.transform("lines", lambda d: F.struct(d["leaf"], d["masked"])))
-    in_docs = each.select("doc", F.inline(distinct).alias("leaf", "masked"))
+    in_docs = places.select("leaf", "masked", "doc").distinct()
     variants = stored(
         in_docs.groupBy("leaf", "masked").agg(
             F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first")
@@ -78,26 +90,22 @@ def recurring_templates(
         "lines",
     )
 
-    # Leaves that may hold a template of several variants.
+    # Leaves that may hold a template of several variants; only their lines' texts are kept.
     leaves = (
         variants.groupBy("leaf")
         .agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
         .where((F.col("total") >= least_documents) & (F.col("n") > 1))
         .select("leaf", "total")
     )
-    texts = rows.select(F.explode(lines_of(F.col("text"))).alias("line"))
-    tokens = (
-        texts.select(_tokens(F.col("line")).alias("tokens"))
-        .where(F.size("tokens") >= least_tokens)
-        .select(
-            F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"),
-            F.xxhash64("tokens").alias("masked"),
-            "tokens",
-        )
+    lines = docs.select(lines_of(text_or_empty(text_col)).alias("lines"))
+    texts = (
+        lines.select(F.inline(_described(F.col("lines"), least_tokens, with_line=True)))
+        .select("leaf", "masked", "line")
         .join(leaves.select("leaf"), "leaf", "left_semi")
         .groupBy("leaf", "masked")
-        .agg(F.min("tokens").alias("tokens"))
+        .agg(F.min("line").alias("line"))
     )
+    tokens = texts.select("leaf", "masked", _tokens(F.col("line")).alias("tokens"))
     open_ = stored(tokens.join(variants, ["leaf", "masked"]), "open-lines")
     held = open_.select("leaf", "docs", F.posexplode("tokens").alias("at", "token"))
     # Of two tokens that each hold half of the lines, the greater is the constant.
@@ -162,12 +170,13 @@ def drop_recurring_lines(
     Lines are those of `recurring_templates`; each stays in the document of the least id
     that holds its template, so that no content is lost altogether, and goes from all
     others. Adds `dropped_lines`, the sorted line numbers from 0. Defined cases: a NULL text
-    stays NULL; lines of fewer than `least_tokens` tokens, empty ones too, always stay; rows
+    stays NULL; lines of fewer than `least_tokens` tokens without digits always stay; rows
     that share an id count as one document and keep the same lines; rows with a NULL id
     never count as first. A column named `dropped_lines` in `docs` is replaced.
     """
+    places = stored(line_places(docs, id_col, text_col, least_tokens), "line-places")
     templates = stored(
-        recurring_templates(docs, id_col, text_col, least_documents, least_tokens, similarity),
+        recurring_templates(docs, places, text_col, least_documents, least_tokens, similarity),
         "templates",
     )
     kept = [c for c in docs.columns if c != "dropped_lines"]
@@ -175,10 +184,6 @@ def drop_recurring_lines(
         F.struct(*[column(c) for c in kept]).alias("row"),
         column(id_col).alias("doc"),
         F.xxhash64(text_or_empty(text_col)).alias("content"),
-        text_or_empty(text_col).alias("text"),
-    )
-    places = rows.select(
-        "doc", "content", F.inline(_described(lines_of(F.col("text")), least_tokens))
     )
     gone = (
         places.join(templates, ["leaf", "masked"])
@@ -193,7 +198,7 @@ def drop_recurring_lines(
     lines = lines_of(column(text_col))
     every = F.sequence(F.lit(0), F.size(lines) - 1)
     left = F.transform(F.array_except(every, "gone"), lambda i: F.get(lines, i))
-    joined = rows.drop("text").join(gone, same, "left").select("row.*", "gone")
+    joined = rows.join(gone, same, "left").select("row.*", "gone")
     return joined.withColumns(
         {
             text_col: F.when(F.col("gone").isNull(), column(text_col)).otherwise(
