@@ -23,8 +23,9 @@ SEED = 42
 SEGMENTS = 32
 _EVEN = 0x5555555555555555
 # Axes of the grid: groups of neighbouring segments. Two points within the distance agree in
-# all but DISTANCE of the groups, so one cell per choice of the other groups is enough.
-GROUPS = 7
+# all but DISTANCE of the groups, so one cell per choice of the other groups is enough. More
+# groups mean more and finer cells, for more documents.
+GROUPS = 9
 _CHUNK = 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -135,29 +136,32 @@ def classes(points: DataFrame, distance: int = DISTANCE, groups: int = GROUPS) -
 
     Points that step 1 joined need no further link, so no link between components is lost.
     """
-    points = stored(points.select("fp").distinct().withColumn("point", embedded(F.col("fp"))), "fp")
+    points = stored(points.select("fp").distinct(), "fp")
     cells = F.explode(
         F.array(
             *[
-                F.xxhash64(F.lit(i), F.col("point").bitwiseAND(F.lit(mask)))
+                F.xxhash64(F.lit(i), embedded(F.col("fp")).bitwiseAND(F.lit(mask)))
                 for i, mask in enumerate(_axes(groups, distance))
             ]
         )
     )
-    gridded = points.select("fp", "point", cells.alias("cell"))
-    hubs = (
-        gridded.groupBy("cell")
-        .agg(F.min("fp").alias("hub"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("cell", "hub")
+    # Points are few bytes but many cells, so they are spread over all tasks before.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gridded = points.repartition(tasks).select("fp", cells.alias("cell"))
+    several = gridded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(gridded.join(several.select("cell"), "cell", "left_semi"), "cells")
+    hubs = shared.groupBy("cell").agg(F.min("fp").alias("hub"))
+    first = shared.join(hubs, "cell").where(
+        (F.col("fp") != F.col("hub")) & (_apart("fp", "hub") <= distance)
     )
-    shared = stored(gridded.join(hubs, "cell"), "cells")
-    first = shared.where((F.col("fp") != F.col("hub")) & (_apart("fp", "hub") <= distance))
     joined = components(first.select(F.col("fp").alias("u"), F.col("hub").alias("v")))
     joined = stored(joined, "joined")
 
     members = shared.join(joined, shared["fp"] == joined["node"], "left").select(
-        "cell", "fp", "point", F.coalesce("component", "fp").alias("part")
+        "cell",
+        "fp",
+        embedded(F.col("fp")).alias("point"),
+        F.coalesce("component", "fp").alias("part"),
     )
     mixed = (
         members.groupBy("cell")
