@@ -17,6 +17,7 @@ from tablevault.llm.common import settled, stored, text_or_empty
 # Distinct words that are encoded ahead and sent to all tasks, at most.
 FREQUENT = 1 << 16
 _TRIES = 1024
+PLAN_TEXT = 1 << 16  # characters
 
 
 @dataclass
@@ -72,7 +73,7 @@ def _laid_over(rows: dict[int, dict[int, int]], size: int) -> tuple[list, list,
         # Rows of one length fail at the same crowded places: go on where the last one lay.
         at = max(free, low.get(len(row), 0)) - rights.min()
         while True:
-            tries = at + np.arange(_TRIES if len(row) > 1 else 64)
+            tries = at + np.arange(max(8, min(_TRIES, (1 << 16) // len(row))))
             clear = ~taken[tries[:, None] + rights].any(axis=1)
             if clear.any():
                 at = int(tries[clear.argmax()])
@@ -197,6 +198,8 @@ def encode(
     Defined cases: NULL and empty texts have no tokens; rows that repeat are encoded one by
     one; other columns are not read.
     """
+    # The tables are part of the plan; its printed form, which Spark keeps, need not show them.
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
     encoder = Encoder(vocabulary)
     frequent = frequent_words(docs, text_col, pattern, most_frequent)
     known = {
