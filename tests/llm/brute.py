@@ -81,3 +81,60 @@ def near_duplicates(docs: list[tuple], shingle: int = 4, distance: int = 4) -> d
                 x, y = root(a), root(b)
                 least[max(x, y)] = min(x, y)
     return {doc: (f"{prints[doc]:016x}", root(doc)) for doc in ids}
+
+
+def recurring_lines(docs: list[tuple], least_docs=4, least_tokens=3, similarity=0.8) -> dict:
+    """{doc_id: numbers of the lines that go}"""
+    places, holders = [], {}
+    for doc, text in docs:
+        for at, line in enumerate((text or "").split("\n")):
+            tokens = [t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)
+            if sum(t != "<*>" for t in tokens) >= least_tokens:
+                places.append((doc, at, tokens))
+                holders.setdefault(tokens, set()).add(doc)
+    leaves: dict = {}
+    for tokens in holders:
+        leaves.setdefault((len(tokens), tokens[:3]), []).append(tokens)
+    templates: dict = {}
+    for leaf, variants in leaves.items():
+        total = sum(len(holders[v]) for v in variants)
+        constants = {}
+        if total >= least_docs and len(variants) > 1:
+            for at in range(leaf[0]):
+                counts: dict = {}
+                for v in variants:
+                    counts[v[at]] = counts.get(v[at], 0) + len(holders[v])
+                common = [t for t, n in counts.items() if 2 * n >= total]
+                if common:
+                    constants[at] = max(common, key=lambda t: t.encode())
+        for v in variants:
+            agrees = sum(constants.get(i) == t for i, t in enumerate(v)) / len(v)
+            templates[v] = leaf if constants and agrees >= similarity else v
+    held: dict = {}
+    for v, template in templates.items():
+        held.setdefault(template, set()).update(holders[v])
+    gone: dict = {doc: [] for doc, _ in docs}
+    for doc, at, tokens in places:
+        found = held[templates[tokens]]
+        if len(found) >= least_docs and doc != min(found):
+            gone[doc].append(at)
+    return gone
+
+
+def contaminated(docs: list[tuple], items: list[str], window: int = 10) -> set:
+    """Ids of the documents that hold a window of an item."""
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+
+    wanted = set()
+    for item in map(words, items):
+        n = min(window, len(item))
+        wanted.update(tuple(item[i : i + n]) for i in range(len(item) - n + 1) if n)
+    lengths = {len(w) for w in wanted}
+    return {
+        doc
+        for doc, own in ((d, words(t)) for d, t in docs)
+        if any(tuple(own[i : i + n]) in wanted for n in lengths for i in range(len(own) - n + 1))
+    }
