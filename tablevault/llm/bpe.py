@@ -15,7 +15,7 @@ from tablevault.functions.columns import column
 from tablevault.llm.common import settled, stored, text_or_empty
 
 # Distinct words that are encoded ahead and sent to all tasks, at most.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 14
 _TRIES = 1024
 PLAN_TEXT = 1 << 16  # characters
 
