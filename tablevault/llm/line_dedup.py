@@ -13,6 +13,7 @@ DEPTH = 3  # leading tokens that the tree branches on, below the number of token
 LEAST_TOKENS = 3
 LEAST_DOCUMENTS = 4
 SIMILARITY = 0.8
+EXACT = "exact"  # tells the hashes of unmasked lines from others
 _GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -20,47 +21,63 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _tokens(line: Column) -> Column:
-    """The tokens of a line, with every token that holds a digit generalised."""
-    return F.transform(
-        F.filter(F.split(line, _GAP), lambda t: t != ""),
-        lambda t: F.when(t.rlike("[0-9]"), WILDCARD).otherwise(t),
-    )
+def _split(line: Column) -> Column:
+    return F.filter(F.split(line, _GAP), lambda t: t != "")
+
+
+def _masked(tokens: Column) -> Column:
+    """Tokens, with every one that holds a digit generalised."""
+    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), WILDCARD).otherwise(t))
 
 
-def _described(lines: Column, least_tokens: int, with_line: bool = False) -> Column:
+def _described(
+    lines: Column, least_tokens: int, short_lines: bool = False, with_line: bool = False
+) -> Column:
     """Number, leaf, masked hash and perhaps text of each line that has enough tokens without digits.
 
-    The leaf is the place in the tree: the number of tokens and the leading ones.
+    The leaf is the place in the tree: the number of tokens and the leading ones. With
+    `short_lines`, other lines that have a token are described too, unmasked: their hash is
+    that of the tokens as they are, and also their leaf, so each has a leaf of its own.
     """
 
+    def entry(i, leaf, masked, line):
+        more = [line.alias("line")] if with_line else []
+        return F.struct(i.alias("at"), leaf.alias("leaf"), masked.alias("masked"), *more)
+
+    def bound(value, use):
+        return F.transform(F.array(value), use)[0]
+
     def describe(line, i):
-        return F.transform(
-            F.array(_tokens(line)),
-            lambda t: F.struct(
-                i.alias("at"),
-                F.size(F.filter(t, lambda x: x != WILDCARD)).alias("n"),
-                F.xxhash64(F.size(t), F.slice(t, 1, DEPTH)).alias("leaf"),
-                F.xxhash64(t).alias("masked"),
-                *([line.alias("line")] if with_line else []),
-            ),
-        )[0]
+        def of(raw, t):
+            enough = F.size(F.filter(t, lambda x: x != WILDCARD)) >= least_tokens
+            leaf = F.xxhash64(F.size(t), F.slice(t, 1, DEPTH))
+            found = F.when(enough, entry(i, leaf, F.xxhash64(t), line))
+            if short_lines:
+                exact = F.xxhash64(raw, F.lit(EXACT))
+                found = found.when(F.size(raw) > 0, entry(i, exact, exact, line))
+            return found
+
+        return bound(_split(line), lambda raw: bound(_masked(raw), lambda t: of(raw, t)))
 
-    return F.filter(F.transform(lines, describe), lambda d: d["n"] >= least_tokens)
+    return F.filter(F.transform(lines, describe), lambda d: d.isNotNull())
 
 
 def line_places(
-    docs: DataFrame, id_col: str, text_col: str, least_tokens: int = LEAST_TOKENS
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    least_tokens: int = LEAST_TOKENS,
+    short_lines: bool = False,
 ) -> DataFrame:
-    """(doc, content, at, leaf, masked) of each line with enough fixed tokens; no texts."""
+    """(doc, content, at, leaf, masked) of each line that takes part; no texts."""
     rows = docs.select(
         column(id_col).alias("doc"),
         F.xxhash64(text_or_empty(text_col)).alias("content"),
         lines_of(text_or_empty(text_col)).alias("lines"),
     )
     return rows.select(
-        "doc", "content", F.inline(_described(F.col("lines"), least_tokens))
-    ).drop("n")
+        "doc", "content", F.inline(_described(F.col("lines"), least_tokens, short_lines))
+    )
 
 
 def recurring_templates(
@@ -97,6 +114,7 @@ def recurring_templates(
         .where((F.col("total") >= least_documents) & (F.col("n") > 1))
         .select("leaf", "total")
     )
+    # Unmasked lines are alone in their leaves, so their texts are not needed.
     lines = docs.select(lines_of(text_or_empty(text_col)).alias("lines"))
     texts = (
         lines.select(F.inline(_described(F.col("lines"), least_tokens, with_line=True)))
@@ -105,7 +123,7 @@ def recurring_templates(
         .groupBy("leaf", "masked")
         .agg(F.min("line").alias("line"))
     )
-    tokens = texts.select("leaf", "masked", _tokens(F.col("line")).alias("tokens"))
+    tokens = texts.select("leaf", "masked", _masked(_split(F.col("line"))).alias("tokens"))
     open_ = stored(tokens.join(variants, ["leaf", "masked"]), "open-lines")
     held = open_.select("leaf", "docs", F.posexplode("tokens").alias("at", "token"))
     # Of two tokens that each hold half of the lines, the greater is the constant.
@@ -164,17 +182,19 @@ def drop_recurring_lines(
     least_documents: int = LEAST_DOCUMENTS,
     least_tokens: int = LEAST_TOKENS,
     similarity: float = SIMILARITY,
+    short_lines: bool = False,
 ) -> DataFrame:
     """All columns of `docs`, with recurring lines dropped from the text.
 
     Lines are those of `recurring_templates`; each stays in the document of the least id
     that holds its template, so that no content is lost altogether, and goes from all
     others. Adds `dropped_lines`, the sorted line numbers from 0. Defined cases: a NULL text
-    stays NULL; lines of fewer than `least_tokens` tokens without digits always stay; rows
+    stays NULL; lines without a token always stay; lines of fewer than `least_tokens` tokens
+    without digits stay unless `short_lines`, and then recur only as they are, unmasked; rows
     that share an id count as one document and keep the same lines; rows with a NULL id
     never count as first. A column named `dropped_lines` in `docs` is replaced.
     """
-    places = stored(line_places(docs, id_col, text_col, least_tokens), "line-places")
+    places = stored(line_places(docs, id_col, text_col, least_tokens, short_lines), "line-places")
     templates = stored(
         recurring_templates(docs, places, text_col, least_documents, least_tokens, similarity),
         "templates",

@@ -90,7 +90,7 @@ def op9_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines")
     )
-    return drop_recurring_lines(docs).select(
+    return drop_recurring_lines(docs, short_lines=True).select(
         "doc_id",
         "n_lines",
         F.size("dropped_lines").cast("long").alias("n_dropped"),
