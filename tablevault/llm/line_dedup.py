@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +82,61 @@ def line_places(
     )
 
 
+def _agreeing(groups: DataFrame, totals: DataFrame, similarity: float) -> DataFrame:
+    """(leaf, masked, template) of the lines that agree with the constants of their group."""
+    held = groups.select("group", "docs", F.posexplode("tokens").alias("at", "token"))
+    # Of two tokens that each hold half of the lines, the greater is the constant.
+    constants = (
+        held.groupBy("group", "at", "token")
+        .agg(F.sum("docs").alias("docs"))
+        .join(totals, "group")
+        .where(2 * F.col("docs") >= F.col("total"))
+        .groupBy("group", "at")
+        .agg(F.max("token").alias("token"))
+    )
+    size = F.size("tokens").alias("n")
+    found = (
+        groups.select("group", "leaf", "masked", size, F.posexplode("tokens").alias("at", "token"))
+        .join(constants, ["group", "at", "token"], "left_semi")
+        .groupBy("group", "leaf", "masked")
+        .agg((F.count(F.lit(1)) / F.max("n")).alias("agrees"))
+        .where(F.col("agrees") >= similarity)
+        .select("leaf", "masked", F.xxhash64("group", F.lit(WILDCARD)).alias("template"))
+    )
+    return stored(found, "agreeing")
+
+
+def _resplit(groups: DataFrame, agreeing: DataFrame, least_documents: int) -> DataFrame:
+    """The lines that do not agree, in finer groups that may yet hold a template.
+
+    Each line goes with the most frequent (place, token) it has that some other line of the
+    group has not. Lines without a token that `least_documents` lines share stay together if
+    others left their group, and are done otherwise, so every round makes groups smaller.
+    """
+    rest = groups.join(agreeing, ["leaf", "masked"], "left_anti")
+    before = groups.groupBy("group").agg(F.count(F.lit(1)).alias("before"))
+    totals = rest.groupBy("group").agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
+    totals = totals.where((F.col("total") >= least_documents) & (F.col("n") > 1)).join(before, "group")
+    rest = stored(rest.join(totals, "group"), "rest-lines")
+    held = rest.select("group", "leaf", "masked", "docs", "total", F.posexplode("tokens").alias("at", "token"))
+    frequent = (
+        held.groupBy("group", "at", "token")
+        .agg(F.sum("docs").alias("held"), F.max("total").alias("total"))
+        .where((F.col("held") >= least_documents) & (F.col("held") < F.col("total")))
+        .select("group", "at", "token", "held")
+    )
+    best = F.max(F.struct("held", (-F.col("at")).alias("back"), "token")).alias("best")
+    chosen = held.join(frequent, ["group", "at", "token"]).groupBy("leaf", "masked").agg(best)
+    split = rest.join(chosen, ["leaf", "masked"], "left").where("best IS NOT NULL OR n < before")
+    finer = split.select(
+        "leaf", "masked", "tokens", "docs", F.xxhash64("group", "best.back", "best.token").alias("group")
+    )
+    finer = stored(finer, "finer-lines")
+    several = finer.groupBy("group").agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
+    several = several.where((F.col("total") >= least_documents) & (F.col("n") > 1)).select("group")
+    return stored(finer.join(several, "group", "left_semi"), "open-lines")
+
+
 def recurring_templates(
     docs: DataFrame,
     places: DataFrame,
@@ -94,8 +151,10 @@ def recurring_templates(
     depth: by their number of tokens, then by the first `DEPTH` tokens. Tokens with digits
     are variable. In a leaf, a place is constant if one token holds it in at least half of
     the leaf's lines (counted once per document), else it is variable; lines that agree with
-    the constants in `similarity` of all tokens form the leaf's template, each other line is
-    a template of its own. A template recurs if at least `least_documents` documents hold
+    the constants in `similarity` of all tokens form a template. The leaf's other lines are
+    split by the most frequent token that each has, and each part is looked at like a leaf,
+    until no part of `least_documents` documents and several lines is left. A line that fits
+    no part's constants is a template of its own. A template recurs if at least `least_documents` documents hold
     it. Columns: leaf, masked, template, first (least id) and documents.
     """
     # A line counts once per document, however often it stands there.
@@ -124,47 +183,33 @@ def recurring_templates(
         .agg(F.min("line").alias("line"))
     )
     tokens = texts.select("leaf", "masked", _masked(_split(F.col("line"))).alias("tokens"))
-    open_ = stored(tokens.join(variants, ["leaf", "masked"]), "open-lines")
-    held = open_.select("leaf", "docs", F.posexplode("tokens").alias("at", "token"))
-    # Of two tokens that each hold half of the lines, the greater is the constant.
-    constants = (
-        held.groupBy("leaf", "at", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .join(leaves, "leaf")
-        .where(2 * F.col("docs") >= F.col("total"))
-        .groupBy("leaf", "at")
-        .agg(F.max("token").alias("token"))
-    )
-    agreeing = (
-        open_.select("leaf", "masked", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
-        .join(constants, ["leaf", "at", "token"], "left_semi")
-        .groupBy("leaf", "masked")
-        .agg((F.count(F.lit(1)) / F.max("n")).alias("agrees"))
-        .where(F.col("agrees") >= similarity)
-        .select("leaf", "masked", F.lit(True).alias("general"))
-    )
-    named = variants.join(agreeing, ["leaf", "masked"], "left").select(
+    lines = tokens.join(variants.drop("first"), ["leaf", "masked"])
+    groups = stored(lines.withColumn("group", F.col("leaf")), "open-lines")
+    agreeing = [_agreeing(groups, leaves.withColumnRenamed("leaf", "group"), similarity)]
+    while not (groups := _resplit(groups, agreeing[-1], least_documents)).isEmpty():
+        totals = groups.groupBy("group").agg(F.sum("docs").alias("total"))
+        agreeing.append(_agreeing(groups, totals, similarity))
+    named = variants.join(reduce(DataFrame.unionByName, agreeing), ["leaf", "masked"], "left")
+    named = named.select(
         "leaf",
         "masked",
         "docs",
         "first",
-        F.when(F.col("general"), F.xxhash64("leaf", F.lit(WILDCARD)))
-        .otherwise(F.col("masked"))
-        .alias("template"),
-        F.coalesce("general", F.lit(False)).alias("general"),
+        F.coalesce("template", "masked").alias("template"),
+        F.col("template").isNotNull().alias("general"),
     )
     # A document may hold several variants of one template; only those need a recount.
     recount = (
-        in_docs.join(named.where("general").select("leaf", "masked"), ["leaf", "masked"], "left_semi")
-        .select("leaf", "doc")
+        in_docs.join(named.where("general").select("leaf", "masked", "template"), ["leaf", "masked"])
+        .select("template", "doc")
         .distinct()
-        .groupBy("leaf")
+        .groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
     )
     general = (
         named.where("general")
         .drop("docs", "first")
-        .join(recount, "leaf")
+        .join(recount, "template")
         .select("leaf", "masked", "template", "docs", "first")
     )
     single = named.where("NOT general").select("leaf", "masked", "template", "docs", "first")

@@ -24,3 +24,15 @@ def test_short_lines_recur_unmasked(documents, spark, tmp_path):
     rows += [(10 + i, f"{words(5000 + 100 * i, 9)}\nOnly three") for i in range(3)]
     got = dropped(spark, documents(*rows), tmp_path)
     assert got == {0: [], 1: [1, 3], 2: [1, 3], 3: [1, 3], 10: [], 11: [], 12: []}
+
+
+def test_two_templates_in_one_leaf(documents, spark, tmp_path):
+    forum = "Posted by user {} in the forum for general talk today at noon"
+    mail = "Posted by user {} via mail from our old list archive server there"
+    names = [words(100 + i, 1) for i in range(12)]
+    lines = [forum.format(n) for n in names[:5]] + [mail.format(n) for n in names[5:9]]
+    lines += [f"Posted by user {words(200 + 20 * i, 10)}" for i in range(7)]
+    rows = [(i, f"{words(5000 + 100 * i, 9)}\n{x}") for i, x in enumerate(lines)]
+    got = dropped(spark, documents(*rows), tmp_path)
+    assert {d for d, at in got.items() if at} == {1, 2, 3, 4, 6, 7, 8}
+    assert all(at in ([], [1]) for at in got.values())
