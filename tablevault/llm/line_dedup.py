@@ -14,8 +14,13 @@ WILDCARD = "<*>"
 DEPTH = 3  # leading tokens that the tree branches on, below the number of tokens
 LEAST_TOKENS = 3
 LEAST_DOCUMENTS = 4
+# Lines of so many tokens or characters (for scripts without spaces) are passages, which recur
+# as they are if two documents have them.
+LONG_TOKENS = 50
+LONG_CHARS = 300
+LEAST_LONG = 2
 SIMILARITY = 0.8
-EXACT = "exact"  # tells the hashes of unmasked lines from others
+EXACT, LONG = "exact", "long"  # tell the hashes of unmasked lines from others
 _GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -39,7 +44,8 @@ def _described(
 
     The leaf is the place in the tree: the number of tokens and the leading ones. With
     `short_lines`, other lines that have a token are described too, unmasked: their hash is
-    that of the tokens as they are, and also their leaf, so each has a leaf of its own.
+    that of the tokens as they are, and also their leaf, so each has a leaf of its own. Long
+    lines are described once more, unmasked, with the inverse of their hash as the leaf.
     """
 
     def entry(i, leaf, masked, line):
@@ -57,11 +63,31 @@ def _described(
             if short_lines:
                 exact = F.xxhash64(raw, F.lit(EXACT))
                 found = found.when(F.size(raw) > 0, entry(i, exact, exact, line))
-            return found
+            exact = F.xxhash64(raw, F.lit(LONG))
+            long = (F.size(raw) >= LONG_TOKENS) | (F.char_length(line) >= LONG_CHARS)
+            long = F.when(long & (F.size(raw) > 0), entry(i, F.bitwise_not(exact), exact, line))
+            return F.array(found, long)
 
         return bound(_split(line), lambda raw: bound(_masked(raw), lambda t: of(raw, t)))
 
-    return F.filter(F.transform(lines, describe), lambda d: d.isNotNull())
+    return F.filter(F.flatten(F.transform(lines, describe)), lambda d: d.isNotNull())
+
+
+def _long() -> Column:
+    """Whether a line is described as a long one, unmasked."""
+    return F.col("leaf") == F.bitwise_not(F.col("masked"))
+
+
+def _held(places: DataFrame, copies: DataFrame | None) -> DataFrame:
+    """`places` with the `holder` of each: the document, for long lines its group of copies."""
+    if copies is None:
+        return places.withColumn("holder", F.col("doc"))
+    one = copies.groupBy("doc").agg(F.min("group").alias("holder"))
+    moved = stored(one.where("holder IS NOT NULL AND NOT holder <=> doc"), "copies")
+    moved = moved.withColumnRenamed("doc", "of")
+    own = places.where(_long()).join(moved, F.col("doc").eqNullSafe(F.col("of")), "left").drop("of")
+    own = own.withColumn("holder", F.coalesce("holder", "doc"))
+    return own.unionByName(places.where(~_long()).withColumn("holder", F.col("doc")))
 
 
 def line_places(
@@ -147,18 +173,19 @@ def recurring_templates(
 ) -> DataFrame:
     """Lines, as (leaf, masked), whose template recurs, and the first document that has it.
 
-    `places` are the `line_places` of `docs`, stored. Lines are filed in a tree of fixed
+    `places` are the `line_places` of `docs`, stored, with the `holder` that each counts for. Lines are filed in a tree of fixed
     depth: by their number of tokens, then by the first `DEPTH` tokens. Tokens with digits
     are variable. In a leaf, a place is constant if one token holds it in at least half of
     the leaf's lines (counted once per document), else it is variable; lines that agree with
     the constants in `similarity` of all tokens form a template. The leaf's other lines are
     split by the most frequent token that each has, and each part is looked at like a leaf,
     until no part of `least_documents` documents and several lines is left. A line that fits
-    no part's constants is a template of its own. A template recurs if at least `least_documents` documents hold
-    it. Columns: leaf, masked, template, first (least id) and documents.
+    no part's constants is a template of its own. A template recurs if at least
+    `least_documents` documents hold it, a long line, unmasked, if `LEAST_LONG` do. Columns:
+    leaf, masked, template, first (least id) and documents.
     """
     # A line counts once per document, however often it stands there.
-    in_docs = places.select("leaf", "masked", "doc").distinct()
+    in_docs = places.select("leaf", "masked", F.col("holder").alias("doc")).distinct()
     variants = stored(
         in_docs.groupBy("leaf", "masked").agg(
             F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first")
@@ -215,7 +242,7 @@ def recurring_templates(
     single = named.where("NOT general").select("leaf", "masked", "template", "docs", "first")
     return (
         general.unionByName(single)
-        .where(F.col("docs") >= least_documents)
+        .where(F.col("docs") >= F.when(_long(), min(LEAST_LONG, least_documents)).otherwise(least_documents))
         .withColumnRenamed("docs", "documents")
     )
 
@@ -228,6 +255,7 @@ def drop_recurring_lines(
     least_tokens: int = LEAST_TOKENS,
     similarity: float = SIMILARITY,
     short_lines: bool = False,
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """All columns of `docs`, with recurring lines dropped from the text.
 
@@ -237,9 +265,12 @@ def drop_recurring_lines(
     stays NULL; lines without a token always stay; lines of fewer than `least_tokens` tokens
     without digits stay unless `short_lines`, and then recur only as they are, unmasked; rows
     that share an id count as one document and keep the same lines; rows with a NULL id
-    never count as first. A column named `dropped_lines` in `docs` is replaced.
+    never count as first. `copies` (doc, group) makes long lines count once per group of copies
+    and stay in the whole of the first group, so that copies remain alike for a later stage,
+    which is to drop them; `group` is an id of one of the copies. A column named `dropped_lines` in `docs` is replaced.
     """
     places = stored(line_places(docs, id_col, text_col, least_tokens, short_lines), "line-places")
+    places = _held(places, copies)
     templates = stored(
         recurring_templates(docs, places, text_col, least_documents, least_tokens, similarity),
         "templates",
@@ -252,7 +283,7 @@ def drop_recurring_lines(
     )
     gone = (
         places.join(templates, ["leaf", "masked"])
-        .where(~F.col("doc").eqNullSafe(F.col("first")))
+        .where(~F.col("holder").eqNullSafe(F.col("first")))
         .groupBy("doc", "content")
         .agg(F.array_sort(F.collect_set("at")).alias("gone"))
         .select(F.col("doc").alias("gone_doc"), F.col("content").alias("gone_content"), "gone")

@@ -36,3 +36,22 @@ def test_two_templates_in_one_leaf(documents, spark, tmp_path):
     got = dropped(spark, documents(*rows), tmp_path)
     assert {d for d, at in got.items() if at} == {1, 2, 3, 4, 6, 7, 8}
     assert all(at in ([], [1]) for at in got.values())
+
+
+def test_long_lines_of_two_documents(documents, spark, tmp_path):
+    passage, unspaced = words(0, 50), "".join(chr(0x4E00 + i) for i in range(300))
+    rows = [(i, f"{words(1000 + 500 * i, 200)}\n{passage}\n{unspaced}\nOne short line here") for i in range(2)]
+    rows += [(10 + i, f"{words(5000, 49)}\n{words(7000, 60)} {2020 + i}") for i in range(2)]
+    got = dropped(spark, documents(*rows), tmp_path)
+    assert got == {0: [], 1: [1, 2], 10: [], 11: []}
+
+
+def test_copies_of_a_document_keep_their_long_lines_for_the_next_stage(documents, spark):
+    own = f"{words(0, 200)}\n{words(300, 200)}"
+    docs = documents((1, own), (2, own + " end"), (3, f"{words(300, 200)}\n{words(900, 90)}"))
+    stages = dict(pipeline.STAGES)
+    lines = stages["line_dedup"](spark, docs, "")
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == {
+        1: own, 2: own + " end", 3: words(900, 90),
+    }
+    assert {r["doc_id"] for r in stages["near_dedup"](spark, lines, "").collect()} == {1, 3}
