@@ -86,6 +86,7 @@ def rebuilt(turns: DataFrame, group: int = 20, most: int = 4) -> DataFrame:
     more), then c's own turns without its first h; h is crc32 of c's decimal digits modulo
     `most`. Conversations without any turn left keep one row of place 0 and NULL content.
     """
+    turns = stored(turns, "trie-turns")
     h = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(most))
     heads = (
         turns.where((F.col("conv") % group == 0) & (F.col("place") < most))

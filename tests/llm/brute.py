@@ -1,7 +1,10 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
 
 
 def sha(data) -> str:
@@ -138,3 +141,65 @@ def contaminated(docs: list[tuple], items: list[str], window: int = 10) -> set:
         for doc, own in ((d, words(t)) for d, t in docs)
         if any(tuple(own[i : i + n]) in wanted for n in lengths for i in range(len(own) - n + 1))
     }
+
+
+def ranked(docs: list[tuple], items: list[tuple], best: int = 10) -> list[tuple]:
+    """(item_id, rank, doc_id, score), scoring every document for every item"""
+
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text or ""))
+
+    counts = [(d, Counter(terms(t))) for d, t in docs]
+    counts = [(d, c) for d, c in counts if c]
+    n, length = len(counts), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, tf in counts:
+            m = 100 - 90 + (90 * tf.total() * n) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                * ((10**9 * tf[t]) // (1000 * tf[t] + 8 * m))
+                for t in set(terms(text))
+                if t in tf
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0))
+        found = enumerate(sorted(scores)[:best], 1)
+        out += [(item, i, None if none else doc, -score) for i, (score, none, doc) in found]
+    return sorted(out, key=lambda r: r[:2])
+
+
+def trie(rows: list[tuple], group: int = 20, most: int = 4) -> list[tuple]:
+    """The nodes of the trie of rebuilt conversations, from (conv_id, turn, role, text)"""
+    own: dict = {}
+    for conv, turn, role, text in rows:
+        own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(role, text) for _, _, role, text in sorted(turns)] for c, turns in own.items()}
+    whole = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % most
+        whole[c] = own.get(c - int(math.fmod(c, group)), [])[:h] + turns[h:]
+    members: dict = {}
+    for c, turns in whole.items():
+        for depth in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:depth]), []).append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, convs in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) if p else 0
+        for depth in range(len(p) + 1):
+            saved[p[:depth]] += (len(convs) - 1) * words
+            leaves[p[:depth]] += not children[p]
+    return sorted(
+        (
+            (
+                min(convs), len(p), min(members[p[:-1]]) if p else None, len(convs), children[p],
+                leaves[p], saved[p],
+                sha(",".join(map(str, sorted(c for c in convs if len(whole[c]) == len(p))))),
+            )
+            for p, convs in members.items()
+        ),
+        key=lambda r: r[:2],
+    )

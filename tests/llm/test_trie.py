@@ -1,0 +1,84 @@
+"""The conversation trie against plain Python."""
+
+import random
+import zlib
+
+import brute
+import pytest
+from tablevault.llm import prefix_trie as trie
+from tablevault.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+FIELDS = "conv_id long, turn long, role string, text string"
+
+
+def nodes(df):
+    found = trie.prefix_trie(trie.rebuilt(trie.turn_ids(df))).collect()
+    return sorted((tuple(r) for r in found), key=lambda r: r[:2])
+
+
+def test_given_conversations(spark):
+    df = table(spark, SF, "conversations")
+    assert nodes(df) == brute.trie([tuple(r) for r in df.select(*FIELDS.split()[::2]).collect()])
+
+
+def made(seed, ids, lengths, texts):
+    draw = random.Random(seed)
+    return [
+        (c, t, draw.choice(["user", "assistant"]) if t > 20 else None, draw.choice(texts) if t % 5 else f"turn {t}")
+        for c in ids
+        for t in range(draw.choice(lengths))
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_long_and_shared_conversations(spark, seed):
+    # Around the width of a block, several blocks long, and empty after rebuilding.
+    ids = [*range(-3, 45), 10**12, 10**12 + 7]
+    rows = made(seed, ids, [1, 2, 3, 7, 8, 9, 16, 17, 30], ["x y", "x y", "x y", None, ""])
+    assert nodes(spark.createDataFrame(rows, FIELDS)) == brute.trie(rows)
+
+
+def test_turn_numbers(spark):
+    # NULL first, ranges of turn numbers beyond one another, a gap of thousands.
+    rows = [(7, t, "user", f"t{t}") for t in (None, -5, 3, 1023, 1024, 5000, 2048, 10**9)]
+    rows += [(27, t, "user", f"t{t}") for t in (None, -5, 3, 1023)]
+    assert nodes(spark.createDataFrame(rows, FIELDS)) == brute.trie(rows)
+
+
+def test_a_very_common_conversation(spark):
+    rows = [(c, t, "user", f"t{t} and more") for c in range(9000) for t in range(2)]
+    rows += [(c, 0, "user", f"other {c}") for c in range(9000, 9300)]
+    assert nodes(spark.createDataFrame(rows, FIELDS)) == brute.trie(rows)
+
+
+def test_role_and_text_are_told_apart(spark):
+    ids = [c for c in range(100) if zlib.crc32(str(c).encode()) % 4 == 0]  # nothing is shared
+    rows = [(ids[0], 0, "ab", "c"), (ids[1], 0, "a", "bc"), (ids[2], 0, "", "2:abc")]
+    found = nodes(spark.createDataFrame(rows, FIELDS))
+    assert found == brute.trie(rows)
+    assert sum(r[1] == 1 for r in found) == 3
+
+
+def test_repeated_rows_are_turns(spark):
+    rows = [(1, 0, "u", "a")] * 3 + [(2, 0, "u", "a")] * 2
+    assert nodes(spark.createDataFrame(rows, FIELDS)) == brute.trie(rows)
+
+
+def test_rows_without_id_belong_to_none(spark):
+    rows = [(None, 0, "u", "a"), (4, 0, "u", "a")]
+    assert nodes(spark.createDataFrame(rows, FIELDS)) == brute.trie(rows[1:])
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert nodes(spark.createDataFrame([], FIELDS)) == []
+    df = spark.createDataFrame([(4, 0, "u", "a", 1, "x")], FIELDS + ", conv long, words string")
+    assert nodes(df) == brute.trie([(4, 0, "u", "a")])
+
+
+def test_prefixes_come_from_a_rollup(spark):
+    df = spark.createDataFrame([(4, 0, "u", "a")], FIELDS)
+    blocks = trie._blocks(trie.turn_ids(df))
+    plan = trie._rolled_up(blocks, "count(*) AS n")._jdf.queryExecution().executedPlan().toString()
+    # Rows that are no prefix are left out before they are counted and shuffled.
+    assert plan.index("Filter") < plan.index("Expand")
