@@ -5,6 +5,8 @@ Everything here builds JVM-side column expressions; no row reaches Python.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 _LIMBS = 4
 _LIMB_BITS = 16
 _LIMB_MASK = (1 << _LIMB_BITS) - 1
+_FLAGS = 62
 
 
 def quoted(name: str) -> str:
@@ -98,10 +101,27 @@ def null_layout(value: Column, dtype: T.DataType) -> Column:
 
 
 def row_hash(schema: T.StructType) -> Column:
-    """A 64-bit hash of the whole row, sensitive to NULL positions."""
+    """A 64-bit hash of the whole row, sensitive to NULL positions.
+
+    The NULL flags of plain columns are packed into bigints, `_FLAGS` to each.
+    """
     values = [comparable(column(f.name), f.dataType) for f in schema.fields]
-    nulls = [null_layout(column(f.name), f.dataType) for f in schema.fields]
-    return F.xxhash64(*values, *nulls)
+    nested = [
+        f for f in schema.fields if isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+    ]
+    layouts = [null_layout(column(f.name), f.dataType) for f in nested]
+    plain = [column(f.name) for f in schema.fields if f not in nested]
+    packed = [
+        reduce(
+            Column.bitwiseOR,
+            [
+                F.when(value.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, value in enumerate(plain[start : start + _FLAGS])
+            ],
+        )
+        for start in range(0, len(plain), _FLAGS)
+    ]
+    return F.xxhash64(*values, *layouts, *packed)
 
 
 def limb_sums(value: Column, prefix: str) -> list[Column]:

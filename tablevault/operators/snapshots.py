@@ -18,7 +18,8 @@ from tablevault.functions.columns import column, limb_total_of, quoted
 from tablevault.functions.sizing import shuffle_for
 from tablevault.functions.time import AsOf, instant, moment, now
 from tablevault.operators.describe import describe, file_stats, partition_columns
-from tablevault.operators.diff import fingerprint_metrics
+from tablevault.operators import manifest as proof
+from tablevault.operators.diff import fingerprint, fingerprint_metrics
 from tablevault.operators.verify import Checks, verify_clone
 from tablevault.plans import audit as log
 from tablevault.sources import filesystem
@@ -26,6 +27,11 @@ from tablevault.sources import filesystem
 logger = logging.getLogger(__name__)
 
 DELETERS = 16
+# Damaged files that an error names; all of them are in `Vault.damage`.
+NAMED = 10
+# How a restored copy is compared with its snapshot, beside the recorded proof (names, types and
+# the row counts of file footers) and where there is none.
+PROVEN, UNPROVEN = Checks(full_diff=False, sample=False), Checks()
 
 
 @dataclass(frozen=True)
@@ -66,6 +72,9 @@ class Snapshot:
     source_properties: list[dict] | None = None
     seconds: int = 0
     stats: dict = field(default_factory=dict)
+    # Where its files are recorded, and the record's own totals.
+    manifest_path: str | None = None
+    manifest: dict | None = None
 
     @property
     def size(self) -> int:
@@ -74,7 +83,14 @@ class Snapshot:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The version's rows, with the source's column order and types."""
-        frame = spark.read.schema(self.schema).parquet(self.path)
+        return self._frame(spark)
+
+    def read_what_can_be(self, spark: SparkSession) -> DataFrame:
+        """`read` that passes over files that are gone or cannot be read."""
+        return self._frame(spark, ignoreCorruptFiles="true", ignoreMissingFiles="true")
+
+    def _frame(self, spark: SparkSession, **options: str) -> DataFrame:
+        frame = spark.read.schema(self.schema).options(**options).parquet(self.path)
         return frame.select(*[frame[quoted(f.name)] for f in self.schema.fields])
 
 
@@ -82,7 +98,8 @@ class Vault:
     """A folder of snapshots and the audit log that publishes them.
 
     Snapshots lie at `<root>/<catalog>/<schema>/<table>/v=<n>/`, or below an external
-    location, and are never changed. The log lies at `<root>/_audit/`.
+    location, and are never changed. The log lies at `<root>/_audit/`, and what each file of
+    a snapshot held when it was made at `<root>/_manifests/`.
     """
 
     def __init__(self, spark: SparkSession, root: str, audit_path: str | None = None) -> None:
@@ -131,14 +148,17 @@ class Vault:
         *,
         location: str | None = None,
         partition_by: list[str] | None = None,
-        with_fingerprint: bool = False,
+        with_fingerprint: bool = True,
     ) -> Snapshot:
         """Write the next version of `name` without publishing it.
 
-        The row count, and the fingerprint if asked for, are taken by the copy job itself,
-        so they describe exactly what was copied even while the source changes. A table
-        keeps its partition columns and file layout. With `partition_by`, rows are first
-        rebalanced by those columns, which lets Spark split hot values and join small ones.
+        The row count and the fingerprint are taken by the copy job itself, so they describe
+        exactly what was copied even while the source changes. The files are then read once
+        for the manifest: each file's size, rows and checksum. `with_fingerprint=False`
+        leaves both out; such a version is restored on a comparison with itself alone. A
+        table keeps its partition columns and file layout. With `partition_by`, rows are
+        first rebalanced by those columns, which lets Spark split hot values and join small
+        ones.
         """
         started = time.monotonic()
         properties = None
@@ -167,20 +187,30 @@ class Vault:
         writer.parquet(path)
         seen = observed.get
         stats = file_stats(self.spark, path).first()
-        return Snapshot(
+        snapshot = Snapshot(
             name=name,
             version=version,
             path=path,
             schema=frame.schema,
             row_count=seen["row_count"],
             partition_by=list(partition_by or []),
-            fingerprint=(seen["row_count"], limb_total_of(seen, "checksum"))
-            if with_fingerprint
-            else None,
             source_properties=properties,
-            seconds=int(time.monotonic() - started),
             stats=stats.asDict(),
         )
+        if with_fingerprint:
+            snapshot = replace(
+                self._recorded(snapshot),
+                fingerprint=(seen["row_count"], limb_total_of(seen, "checksum")),
+            )
+        return replace(snapshot, seconds=int(time.monotonic() - started))
+
+    def _recorded(self, snapshot: Snapshot) -> Snapshot:
+        """Write a snapshot's manifest beside the snapshots, a row per file."""
+        path = f"{self.root}/_manifests/{snapshot.name.path}/v={snapshot.version}"
+        lines = proof.manifest(snapshot.read(self.spark), snapshot.path)
+        lines.write.mode("overwrite").parquet(path)
+        written = self.spark.read.schema(proof.MANIFEST).parquet(path)
+        return replace(snapshot, manifest_path=path, manifest=proof.totals(written))
 
     def _next_version(self, name: TableName) -> int:
         highest = self._history(name).agg(F.max("target_version")).first()[0]
@@ -218,6 +248,8 @@ class Vault:
                     "partition_by": snapshot.partition_by,
                     "fingerprint": snapshot.fingerprint
                     and [str(part) for part in snapshot.fingerprint],
+                    "manifest_path": snapshot.manifest_path,
+                    "manifest": snapshot.manifest,
                 }
             ),
             "source_table_properties": _json(snapshot.source_properties),
@@ -255,9 +287,7 @@ class Vault:
             if present:
                 return present
         try:
-            snapshot = self.copy(
-                source, name, location=location, partition_by=partition_by, with_fingerprint=True
-            )
+            snapshot = self.copy(source, name, location=location, partition_by=partition_by)
         except Exception as error:
             logger.error("Cannot clone %s: %s", name, error)
             raise
@@ -289,6 +319,8 @@ class Vault:
             source_properties=json.loads(properties) if properties else None,
             fingerprint=tuple(map(int, details["fingerprint"])) if details["fingerprint"] else None,
             stats={"total_size_bytes": row["total_size_bytes"]},
+            manifest_path=details.get("manifest_path"),
+            manifest=details.get("manifest"),
         )
 
     def snapshot(
@@ -313,14 +345,17 @@ class Vault:
         version: int | None = None,
         as_of: AsOf | None = None,
         overwrite: bool = False,
-        checks: Checks = Checks(),
+        checks: Checks | None = None,
         when: AsOf | None = None,
     ) -> Snapshot:
         """Bring a backup back to the path `target`.
 
-        The rows are written beside the target and verified there. Only then do they take
-        its place by renaming, so a live table is never without a good copy. Where the store
-        has no cheap rename, restore to an unused path instead, or by `restore_table`.
+        The snapshot's files must be those of its manifest; any other file is named and
+        nothing is written. The rows are then written beside the target and their
+        fingerprint there must be the recorded one; `checks` adds further comparisons with
+        the snapshot. Only then do they take the target's place by renaming, so a live table
+        is never without a good copy. Where the store has no cheap rename, restore to an
+        unused path instead, or by `restore_table`.
         """
         started = time.monotonic()
         found = self.snapshot(name, version, as_of)
@@ -353,7 +388,7 @@ class Vault:
         version: int | None = None,
         as_of: AsOf | None = None,
         overwrite: bool = False,
-        checks: Checks = Checks(),
+        checks: Checks | None = None,
         when: AsOf | None = None,
     ) -> Snapshot:
         """Bring a backup back as the catalog table `table`.
@@ -375,12 +410,54 @@ class Vault:
         self._log_restore(found, table, when, started)
         return found
 
-    def _write_verified(self, found: Snapshot, path: str, checks: Checks) -> None:
+    def damage(
+        self, name: TableName, version: int | None = None, as_of: AsOf | None = None, *,
+        content: bool = True,
+    ) -> DataFrame:
+        """A version's files that are not those that were backed up: (file, problem, ...).
+
+        Reads the listing, and the rows once unless `content=False`; see `manifest.damage`.
+        """
+        return self._damage(self.snapshot(name, version, as_of), content)
+
+    def _damage(self, found: Snapshot, content: bool = True) -> DataFrame:
+        if not found.manifest_path:
+            raise LookupError(f"version {found.version} of {found.name} has no manifest")
+        lines = self.spark.read.schema(proof.MANIFEST).parquet(found.manifest_path)
+        if proof.totals(lines) != found.manifest:
+            raise RuntimeError(
+                f"version {found.version} of {found.name} is damaged: its manifest is not the "
+                "one that was recorded"
+            )
+        frame = found.read_what_can_be(self.spark) if self._there(found) else self._nothing(found)
+        return proof.damage(lines, frame, found.path, content)
+
+    def _there(self, found: Snapshot) -> bool:
+        return filesystem.exists(self.spark, found.path)
+
+    def _nothing(self, found: Snapshot) -> DataFrame:
+        return self.spark.createDataFrame([], found.schema)
+
+    def _refuse_damaged(self, found: Snapshot) -> None:
+        rows = self._damage(found).limit(NAMED + 1).collect()
+        if rows:
+            names = ", ".join(f"{r['problem']} {r['file']}" for r in rows[:NAMED])
+            more = " and more" if len(rows) > NAMED else ""
+            raise RuntimeError(
+                f"version {found.version} of {found.name} is damaged: its files are not those "
+                f"that were backed up: {names}{more}"
+            )
+
+    def _write_verified(self, found: Snapshot, path: str, checks: Checks | None) -> None:
         """Write a snapshot's rows to an unused path and check them there.
 
-        What the write job has counted must be what was recorded when the backup was made,
-        so a snapshot that lost files is not taken for the table.
+        Before anything is written, the files are compared with the manifest. What the write
+        job has counted, and what the written files hold, must be what was recorded when the
+        backup was made. A version without a manifest is compared with its copy instead.
         """
+        if found.manifest_path:
+            self._refuse_damaged(found)
+        checks = checks or (PROVEN if found.manifest_path else UNPROVEN)
         try:
             rows, observed = found.read(self.spark), Observation()
             writer = rows.observe(observed, *fingerprint_metrics(rows.schema)).write
@@ -399,8 +476,10 @@ class Vault:
                     "those that were backed up"
                 )
             copy = replace(found, path=path).read(self.spark)
-            with shuffle_for(self.spark, 2 * found.size):
-                same = verify_clone(found.read(self.spark), copy, checks)
+            same = not found.fingerprint or _fingerprint_of(copy) == found.fingerprint
+            if same:
+                with shuffle_for(self.spark, 2 * found.size):
+                    same = verify_clone(found.read(self.spark), copy, checks)
             if not same:
                 raise RuntimeError(
                     f"Restored copy of {found.name} does not match version {found.version}"
@@ -542,6 +621,9 @@ class Vault:
                 row["catalog"], row["schema"], row["table"], row["target_version"],
             )
             filesystem.delete(self.spark, row["storage_location"])
+            name = TableName(row["catalog"], row["schema"], row["table"])
+            manifest = f"{self.root}/_manifests/{name.path}/v={row['target_version']}"
+            filesystem.delete(self.spark, manifest)
 
         # Stores delete slowly one by one; an error of any of them ends the removal unlogged.
         with ThreadPoolExecutor(DELETERS) as pool:
@@ -575,6 +657,11 @@ def deep_clone(
     )
 
 
+def _fingerprint_of(rows: DataFrame) -> tuple[int, int]:
+    seen = fingerprint(rows).first()
+    return seen["row_count"], int(seen["checksum"])
+
+
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

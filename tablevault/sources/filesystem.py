@@ -21,6 +21,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(handle).toString()
 
 
+def depth(spark: SparkSession, path: str) -> int:
+    """How many names lead from the root of a store to `path`."""
+    fs, handle = _open(spark, path)
+    return fs.makeQualified(handle).depth()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, handle = _open(spark, path)
     return fs.exists(handle)
