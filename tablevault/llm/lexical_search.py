@@ -24,7 +24,7 @@ MOST_BITS = 1 << 22
 # Keys of the documents in one block of the index, and documents, at most.
 BLOCK_KEYS, BLOCK_ROWS = 1 << 18, 4096
 # Items, and terms of items, that are looked up together; a longer item is a block of its own.
-ITEMS, ITEM_TERMS = 1024, 1 << 14
+ITEMS, ITEM_TERMS = 256, 1 << 14
 # Candidate documents that may be broadcast.
 MOST_BROADCAST = 1 << 16
 _PIECE = 1 << 20  # bytes hashed together
@@ -274,39 +274,48 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple
         yield ids, list(numbers), entries
 
 
-def _bounds(items: _Items, width: int, slices: np.ndarray, lengths: np.ndarray) -> Iterator[tuple]:
-    """Upper bounds of all items' scores: (documents of the block from, bounds[item, doc]).
+class _Bounds:
+    """Upper bounds of all items' scores for the documents of a block of the index.
 
     A bit-and of a key's slices tells which documents may hold it. The sums of the terms'
     weights over these bitmaps, level by level, count each term as often as it may occur at
     most: a document's count is below the next level that its signature does not show.
     """
-    first = np.flatnonzero(np.append(True, items.item[1:] != items.item[:-1]))
-    present = items.item[first]
-    hashes = Terms(items.terms).tokens.hash
-    probes = [_probes(_keys(hashes, level), width) for level in range(len(LEVELS))]
-    step = max(8, min(512, (1 << 23) // len(items.item) // 8 * 8))
-    most = np.append(np.array(LEVELS[1:], np.int64) - 1, np.iinfo(np.int64).max)
-    for low in range(0, len(lengths), step):
-        n = lengths[low : low + step]
-        part = slices[:, low // 8 : (low + step) // 8]
-        bounds = np.zeros((len(items.ids), len(n)), np.int64)
-        before, alive, held = np.zeros(len(n), np.int64), np.arange(len(items.terms)), None
-        for level, places in enumerate(probes):
-            bits = np.bitwise_and.reduce(part[places[:, alive]], axis=0)
-            if held is not None:
-                bits &= held
-            some = bits.any(axis=1)
-            alive, held = alive[some], bits[some]
-            if not len(alive):
-                break
-            shown = np.zeros((len(items.terms), len(n)), np.int32)
-            shown[alive] = np.unpackbits(held, axis=1, count=len(n))
-            weights = np.add.reduceat(shown[items.term] * items.weight[:, None], first, axis=0)
-            scored = items.parts(np.minimum(most[level], n), n)
-            bounds[present] += weights * (scored - before)
-            before = scored
-        yield low, bounds
+
+    def __init__(self, items: _Items):
+        self.items = items
+        self.hashes = Terms(items.terms).tokens.hash
+        # Sums of weights are whole numbers, which floats of enough bits add up exactly.
+        total = np.bincount(items.item, items.weight).max(initial=0)
+        self.weights = np.zeros(
+            (len(items.ids), len(items.terms)), np.float32 if total < 1 << 24 else np.float64
+        )
+        self.weights[items.item, items.term] = items.weight
+        self.most = np.append(np.array(LEVELS[1:], np.int64) - 1, np.iinfo(np.int64).max)
+
+    def of(self, width: int, slices: np.ndarray, lengths: np.ndarray) -> Iterator[tuple]:
+        """(number of the first document, bounds[item, document]), some documents at a time."""
+        step = max(8, min(512, (1 << 23) // len(self.hashes) // 8 * 8))
+        for low in range(0, len(lengths), step):
+            n = lengths[low : low + step]
+            part = slices[:, low // 8 : (low + step) // 8]
+            bounds = np.zeros((len(self.weights), len(n)), np.int64)
+            before, alive, held = np.zeros(len(n), np.int64), np.arange(len(self.hashes)), None
+            for level, most in enumerate(self.most):
+                places = _probes(_keys(self.hashes[alive], level), width)
+                bits = np.bitwise_and.reduce(part[places], axis=0)
+                if held is not None:
+                    bits &= held
+                some = bits.any(axis=1)
+                alive, held = alive[some], bits[some]
+                if not len(alive):
+                    break
+                shown = np.unpackbits(held, axis=1, count=len(n)).astype(self.weights.dtype)
+                sums = (self.weights[:, alive] @ shown).astype(np.int64)
+                scored = self.items.parts(np.minimum(most, n), n)
+                bounds += sums * (scored - before)
+                before = scored
+            yield low, bounds
 
 
 def _scan(
@@ -321,13 +330,14 @@ def _scan(
                 [pa.array(item, pa.int64()), pa.array(ids, pa.int64())], ["item", "doc_id"]
             )
 
+        upper = _Bounds(items)
         top = np.zeros((len(items.ids), best or 0), np.int64)
         top_ids = np.full(top.shape, None, object)
         for batch in batches:
             for row in batch.to_pylist():
                 lengths, ids = np.array(row["lengths"], np.int64), np.array(row["ids"], object)
                 slices = np.frombuffer(row["slices"], np.uint8).reshape(row["width"], -1)
-                for low, bounds in _bounds(items, row["width"], slices, lengths):
+                for low, bounds in upper.of(row["width"], slices, lengths):
                     own = ids[low : low + bounds.shape[1]]
                     if best is None:
                         item, doc = np.nonzero((bounds > 0) & (bounds >= least[:, None]))
