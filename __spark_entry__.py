@@ -7,12 +7,15 @@ overwrites, jobs) write below the folder that the session names in `spark.checkp
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tablevault as tv
 from tablevault.plans.plan import plan_rows, with_due
+from tablevault.sources import filesystem
 from tablevault.sources.scratch import scratch_path
 
 try:
@@ -80,6 +83,51 @@ def _foreign_csv(**options: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def etl_csv_rfc4180(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages with doubled quotes and line breaks, the header in another order."""
+    pages = _table(spark, sf_dir, "pages").withColumnRenamed("page_id", "id")
+    source, target = scratch_path(spark, "etl-in"), scratch_path(spark, "etl-out")
+    whole = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    pages.select("html", "id", "url").write.options(header="true", escape='"', **whole).csv(source)
+    tv.run_etl(spark, source, target, schema=pages.schema, by_name=True, **whole)
+    return tv.read_files(spark, target, "csv", pages.schema)
+
+
+def _quoted(value: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def etl_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of documents, some with a field too many: those are kept whole, elsewhere."""
+    documents = _table(spark, sf_dir, "documents")
+    source, target = scratch_path(spark, "etl-in"), scratch_path(spark, "etl-out")
+    rejects = scratch_path(spark, "etl-rejects")
+    record = F.concat_ws(
+        ",", F.col("doc_id").cast("string"), _quoted(F.col("text")), F.col("lang"),
+        F.when(F.col("doc_id") % 7 == 3, F.lit("one more")),
+    )
+    documents.select(record).write.text(source)
+    result = tv.run_etl(
+        spark, source, target, schema="id bigint, text string, lang string", header="false",
+        dialect="rfc4180", rejects=rejects,
+    )
+    kept = tv.read_files(spark, target, "csv", "id bigint, text string, lang string")
+    refused = tv.read_files(spark, rejects).select(
+        F.regexp_extract("record", r"^(\d+),", 1).cast("bigint").alias("id"),
+        F.regexp_extract("record", r",(\w+),one more\s*$", 1).alias("lang"),
+    )
+    return (
+        kept.select("id", F.sha2("text", 256).alias("text_sha256"), "lang")
+        .unionByName(refused, allowMissingColumns=True)
+        .withColumns(
+            {
+                "rows_read": F.lit(result.rows_read).cast("bigint"),
+                "rows_malformed": F.lit(result.rows_malformed).cast("bigint"),
+            }
+        )
+    )
+
+
 def etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's own counts, on data that is read and written as Parquet."""
     target = scratch_path(spark, "etl-out")
@@ -150,6 +198,20 @@ def sample_1000(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tv.sample_rows(_table(spark, sf_dir, "lineitem"), 1000)
 
 
+def sample_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample over the whole table: how large, from where, and all of it rows of the table."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    sample = tv.spread_sample(lineitem, 1000)
+    orders = lineitem.agg(F.max("l_orderkey").alias("last"))
+    tenth = F.floor(F.col("l_orderkey") * 10 / (F.col("last") + 1))
+    strange = tv.diff_rows(sample, lineitem).where("_side = 'missing'")
+    return (
+        sample.join(F.broadcast(orders), F.col("l_orderkey") <= F.col("last"))
+        .agg(F.count(F.lit(1)).alias("sample_rows"), F.count_distinct(tenth).alias("tenths"))
+        .withColumn("strange_rows", strange.agg(F.count(F.lit(1))).scalar())
+    )
+
+
 def backup_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = _table(spark, sf_dir, "part").select(
         F.lit("shop").alias("catalog"),
@@ -446,6 +508,113 @@ def restore_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tv.read_files(spark, target)
 
 
+def restore_refuses_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part of a snapshot is lost, two have changed places, one is added: all are named."""
+    lineitem, vault = _table(spark, sf_dir, "lineitem"), _vault(spark)
+    kept, target = vault.clone(lineitem, LINEITEM), scratch_path(spark, "restored")
+    vault.restore(LINEITEM, target)
+    found = vault.clone(lineitem, LINEITEM, partition_by=["l_returnflag"])
+
+    def part(flag: str) -> str:
+        return f"{found.path}/l_returnflag={flag}"
+
+    filesystem.rename(spark, part("A"), scratch_path(spark, "lost"))
+    aside = scratch_path(spark, "aside")
+    for source, place in ((part("N"), aside), (part("R"), part("N")), (aside, part("R"))):
+        filesystem.rename(spark, source, place)
+    lineitem.drop("l_returnflag").limit(0).coalesce(1).write.parquet(part("X"))
+    place = F.substring_index("file", "/", 1)
+    lost = (place == "l_returnflag=A") & (F.col("problem") == "missing")
+    problems = vault.damage(LINEITEM).agg(
+        F.sum("recorded_rows").alias("recorded_rows"),
+        F.sum("found_rows").alias("found_rows"),
+        F.sum(F.when(lost, F.col("recorded_rows"))).alias("lost_rows"),
+        F.bool_or((place == "l_returnflag=X") & (F.col("problem") == "extra")).alias("added"),
+    )
+    try:
+        vault.restore(LINEITEM, target, overwrite=True)
+        refused = False
+    except RuntimeError:
+        refused = True
+    live = tv.read_files(spark, target)
+    return problems.crossJoin(
+        live.agg(F.count(F.lit(1)).alias("live_rows"), F.sum("l_quantity").alias("live_quantity"))
+    ).withColumn("refused", F.lit(refused and kept.version == 1))
+
+
+def restore_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that compares fingerprints, and a restore that relies on them."""
+    vault, target = _vault(spark), scratch_path(spark, "restored")
+    tv.run_backup(
+        vault, _plan_of(spark, "orders"), method="fingerprint",
+        source=lambda name: _table(spark, sf_dir, name.table),
+    )
+    vault.restore(ORDERS, target)
+    return tv.read_files(spark, target)
+
+
+def restore_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A damaged catalog table is replaced by its backup, partition columns included."""
+    orders, vault = _table(spark, sf_dir, "orders"), _vault(spark)
+    table = f"{vault.create_namespace('live', 'sales')}.`orders_{uuid4().hex}`"
+    orders.write.partitionBy("o_orderstatus").saveAsTable(table)
+    vault.clone(table, ORDERS)
+    _damaged(orders).write.mode("overwrite").partitionBy("o_orderstatus").saveAsTable(table)
+    vault.restore_table(ORDERS, table, overwrite=True)
+    partitions = tv.describe(spark, table).where("section = 'partition'").select("value")
+    rows = spark.table(table).select("*", F.lit(partitions.first()[0]).alias("partitioned_by"))
+    return stored_rows(rows, table)
+
+
+def stored_rows(rows: DataFrame, table: str) -> DataFrame:
+    """`rows` on their own, and the table they were read from dropped."""
+    path = scratch_path(rows.sparkSession, "rows")
+    tv.write_files(rows, path)
+    rows.sparkSession.sql(f"DROP TABLE {table}")
+    return tv.read_files(rows.sparkSession, path)
+
+
+def registered_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a registered backup, the older version first, then the newer."""
+    orders, vault = _table(spark, sf_dir, "orders"), _vault(spark)
+    table = f"{vault.create_namespace('backup', 'dr')}.`orders_{uuid4().hex}`"
+    vault.clone(_damaged(orders), ORDERS)
+    vault.clone(orders, ORDERS)
+    found = []
+    for version in (1, 2):
+        vault.register(ORDERS, table, version)
+        totals = spark.sql(
+            f"SELECT {version}L AS version, o_orderpriority, count(*) AS orders FROM {table} GROUP BY ALL"
+        )
+        path = scratch_path(spark, "rows")
+        tv.write_files(totals, path)
+        found.append(tv.read_files(spark, path))
+    spark.sql(f"DROP TABLE {table}")
+    return found[0].unionByName(found[1])
+
+
+def deep_clone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clone under full names does nothing the second time."""
+    vault, orders = _vault(spark), _table(spark, sf_dir, "orders")
+    for source in (orders, _damaged(orders)):
+        tv.deep_clone(
+            vault, source_catalog="shop", source_schema="sales", source_table="orders",
+            target_catalog="backup", target_schema="dr", target_table="orders", source=source,
+        )
+    return vault.read(tv.TableName("backup", "dr", "orders"))
+
+
+def created_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When a table was made, beside what it holds."""
+    vault, start = _vault(spark), datetime.now(timezone.utc).replace(microsecond=0)
+    table = f"{vault.create_namespace('live', 'sales')}.`customer_{uuid4().hex}`"
+    _table(spark, sf_dir, "customer").write.saveAsTable(table)
+    made = tv.created_time(spark, table)
+    recent = start <= made <= datetime.now(timezone.utc)
+    rows = spark.table(table).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    return stored_rows(rows.withColumn("made_now", F.lit(recent)), table)
+
+
 def list_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions left after a clean-up: the old one of `orders` goes, newest ones stay."""
     vault = _vault(spark)
@@ -457,10 +626,10 @@ def list_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.versions().select("catalog", "schema", "table", "target_version", "row_count")
 
 
-def backup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run over tables in the plan; one has no data and must not stop the others."""
-    plan = spark.createDataFrame(
-        [(i, name, 1) for i, name in enumerate(["orders", "customer", "lineitem", "absent"])],
+def _plan_of(spark: SparkSession, *tables: str) -> DataFrame:
+    """A plan of daily backups of tables in shop.sales, in order."""
+    return spark.createDataFrame(
+        [(i, name, 1) for i, name in enumerate(tables)],
         "ordinal bigint, table string, priority int",
     ).select(
         "*",
@@ -475,9 +644,13 @@ def backup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
             for c in ("storage_type", "account", "container_name", "path_prefix")
         ],
     )
-    vault = _vault(spark)
+
+
+def backup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over tables in the plan; one has no data and must not stop the others."""
+    vault, plan = _vault(spark), _plan_of(spark, "orders", "customer", "lineitem", "absent")
     log = tv.run_backup(vault, plan, source=lambda name: _table(spark, sf_dir, name.table))
-    return log.select(
+    return log.where("operation = 'backup'").select(
         "table", F.coalesce("row_count", F.lit(0)).alias("row_count"), "status",
         "verification_status", F.coalesce("target_version", F.lit(0)).alias("target_version"),
     )
@@ -529,6 +702,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "etl_csv": etl_csv,
         "etl_csv_foreign": _foreign_csv(),
         "etl_csv_crlf": _foreign_csv(lineSep="\r\n"),
+        "etl_csv_rfc4180": etl_csv_rfc4180,
+        "etl_csv_rejects": etl_csv_rejects,
         "etl_counts": etl_counts,
         "roundtrip_parquet": _roundtrip("lineitem", "parquet"),
         "roundtrip_orc": _roundtrip("orders", "orc"),
@@ -539,6 +714,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apply_schema": apply_schema,
         "row_counts": row_counts,
         "sample_1000": sample_1000,
+        "sample_spread": sample_spread,
         "backup_order": backup_order,
         "load_plan": load_plan,
         "due_check": due_check,
@@ -549,6 +725,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "verify_clean": verify_clean,
         "verify_damaged": _verify_damaged(tv.Checks(), *_REPORT),
         "verify_sample": _verify_damaged(tv.Checks(full_diff=False), *_REPORT),
+        "verify_spread_sample": _verify_damaged(
+            tv.Checks(full_diff=False, sample_method="spread"),
+            "source_rows", "target_rows", "passed",
+        ),
         "verify_fingerprint": _verify_damaged(
             tv.Checks(full_diff=False, sample=False, fingerprint=True),
             "source_rows", "target_rows", "fingerprint_match", "passed",
@@ -569,6 +749,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clone_if_not_exists": clone_if_not_exists,
         "restore_version": restore_version,
         "restore_as_of": restore_as_of,
+        "restore_refuses_changed": restore_refuses_changed,
+        "restore_fingerprint": restore_fingerprint,
+        "restore_table": restore_table,
+        "registered_backup": registered_backup,
+        "deep_clone": deep_clone,
+        "created_time": created_time,
         "list_backups": list_backups,
         "backup_audit": backup_audit,
         "file_stats": file_stats,
@@ -658,6 +844,15 @@ def oracle_sql() -> dict[str, str]:
             ("etl_csv", "etl_csv_foreign", "etl_csv_crlf"),
             "SELECT doc_id AS id, text, lang, source, n_chars FROM documents WHERE doc_id > 0",
         ),
+        "etl_csv_rfc4180": "SELECT page_id AS id, url, html FROM pages WHERE page_id > 0",
+        "etl_csv_rejects": """
+            WITH counts AS (
+                SELECT count(*) AS rows_read, count(*) FILTER (doc_id % 7 = 3) AS rows_malformed
+                FROM documents
+            )
+            SELECT doc_id AS id, CASE WHEN doc_id % 7 <> 3 THEN sha256(text) END AS text_sha256,
+                   lang, rows_read, rows_malformed
+            FROM documents, counts WHERE doc_id > 0""",
         "etl_counts": """
             SELECT count(*) AS rows_read, count(*) FILTER (l_orderkey > 0) AS rows_written,
                    count(*) FILTER (l_orderkey > 0) AS rows_found FROM lineitem""",
@@ -674,6 +869,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
         ),
         "sample_1000": "SELECT * FROM lineitem ORDER BY ALL LIMIT 1000",
+        "sample_spread": """
+            SELECT least(count(*), 1000) AS sample_rows, 10::BIGINT AS tenths,
+                   0::BIGINT AS strange_rows FROM lineitem""",
         "backup_order": """
             SELECT CAST(p_partkey AS VARCHAR) AS "table", p_size AS priority,
                    row_number() OVER (ORDER BY p_size DESC, p_partkey) AS backup_rank
@@ -737,6 +935,7 @@ def oracle_sql() -> dict[str, str]:
             FROM orders""",
         "verify_damaged": diff + report,
         "verify_sample": samples + report,
+        "verify_spread_sample": counts + ", false AS passed",
         "verify_fingerprint": counts + ", false AS fingerprint_match, false AS passed",
         "verify_fingerprint_clean": """
             SELECT count(*) AS source_rows, count(*) AS target_rows, true AS fingerprint_match,
@@ -776,6 +975,22 @@ def oracle_sql() -> dict[str, str]:
         "clone_if_not_exists": "SELECT * FROM orders",
         "restore_version": _DAMAGED_SQL,
         "restore_as_of": "SELECT * FROM orders",
+        "restore_refuses_changed": """
+            SELECT count(*) AS recorded_rows, count(*) FILTER (l_returnflag <> 'A') AS found_rows,
+                   count(*) FILTER (l_returnflag = 'A') AS lost_rows, true AS added,
+                   count(*) AS live_rows, sum(l_quantity) AS live_quantity, true AS refused
+            FROM lineitem""",
+        "restore_fingerprint": "SELECT * FROM orders",
+        "restore_table": "SELECT *, 'o_orderstatus' AS partitioned_by FROM orders",
+        "registered_backup": f"""
+            SELECT 1::BIGINT AS version, o_orderpriority, count(*) AS orders
+            FROM ({_DAMAGED_SQL}) GROUP BY ALL
+            UNION ALL
+            SELECT 2, o_orderpriority, count(*) FROM orders GROUP BY ALL""",
+        "deep_clone": "SELECT * FROM orders",
+        "created_time": """
+            SELECT c_mktsegment, count(*) AS customers, true AS made_now
+            FROM customer GROUP BY c_mktsegment""",
         "list_backups": f"""
             SELECT 'shop' AS catalog, 'sales' AS "schema", 'orders' AS "table",
                    2::BIGINT AS target_version, count(*) AS row_count FROM ({_DAMAGED_SQL})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -46,7 +47,8 @@ def run_backup(
     `data_sample_check` switch the two checks off.
 
     A copy is published once it passed, and registered in the backup schema, where SQL reads
-    it as `<catalog>_<schema>_<table>`. Tables that share an external address get folders of
+    it by its `registered_name`; a registration that fails is logged as an operation apart
+    from the run. Tables that share an external address get folders of
     their catalog and schema below it. With a table's `fail_fast`, an error or a failed
     check ends the run with that error; without it, the run goes on. Both are logged.
     """
@@ -68,8 +70,41 @@ def run_backup(
 
 
 def registered_name(namespace: str, name: TableName) -> str:
-    """The table in the backup schema by which SQL reads a table's newest passed backup."""
-    return f"{namespace}.{quoted('_'.join((name.catalog, name.schema, name.table)))}"
+    """The table in the backup schema by which SQL reads a table's newest passed backup.
+
+    `<catalog>_<schema>_<table>` where all three are plain letters and digits. Otherwise two
+    underscores part them, and every other character is written as an underscore and two
+    hexadecimal digits for each of its bytes. No two tables have the same name, and
+    `registered_table` tells which table a name means.
+    """
+    parts = (name.catalog, name.schema, name.table)
+    if all(re.fullmatch("[A-Za-z0-9]+", part) for part in parts):
+        return f"{namespace}.{quoted('_'.join(parts))}"
+    return f"{namespace}.{quoted('__'.join(map(_escaped, parts)))}"
+
+
+def _escaped(part: str) -> str:
+    return re.sub(
+        "[^A-Za-z0-9]", lambda m: "".join(f"_{byte:02x}" for byte in m[0].encode()), part
+    )
+
+
+def registered_table(registered: str) -> TableName:
+    """The table whose backup is registered under a name (without its schema)."""
+    if "__" not in registered:
+        return TableName(*registered.split("_"))
+    parts, at = [b""], 0
+    while at < len(registered):
+        if registered.startswith("__", at):
+            parts.append(b"")
+            at += 2
+        elif registered[at] == "_":
+            parts[-1] += bytes.fromhex(registered[at + 1 : at + 3])
+            at += 3
+        else:
+            parts[-1] += registered[at].encode()
+            at += 1
+    return TableName(*(part.decode() for part in parts))
 
 
 def _shared_locations(plan: DataFrame) -> set[str]:
@@ -128,6 +163,16 @@ def _back_up(
         vault.register(name, registered_name(namespace, name), snapshot.version)
     except Exception as error:  # the backup itself is good and published
         logger.error("Cannot register the backup of %s: %s", name, error)
+        entry = {
+            "run_id": uuid4().hex,
+            "timestamp": moment(vault.spark, as_of),
+            "operation": log.REGISTER,
+            **name.key,
+            "source_version": snapshot.version,
+            "status": log.FAILED,
+            "error_message": str(error),
+        }
+        log.append_row(vault.spark, vault.audit_path, entry)
 
 
 class VerificationError(RuntimeError):
@@ -190,10 +235,15 @@ def _log_failure(
 
 
 def cleanup(vault: Vault, plan: DataFrame, *, as_of: AsOf | None = None) -> int:
-    """Remove every expired version and finish interrupted removals; returns how many."""
+    """Remove every expired version and finish interrupted removals; returns how many.
+
+    Logs of tables that have grown to many files are compacted.
+    """
     as_of = as_of or now()
     try:
-        return vault.drop_versions(expired(vault.audit(), plan, as_of), as_of)
+        dropped = vault.drop_versions(expired(vault.audit(), plan, as_of), as_of)
+        vault.compact_audit()
+        return dropped
     except Exception as error:
         logger.error("Clean-up failed: %s", error)
         raise

@@ -15,7 +15,7 @@ from tablevault.functions.columns import (
     limb_total,
     row_hash,
 )
-from tablevault.operators.rows import sample_rows, whole_row_order
+from tablevault.operators.rows import sample_rows, spread_sample, whole_row_order
 
 # Bounds the broadcast list of suspect slices: at most this many bigints.
 MAX_BUCKETS = 1 << 20
@@ -103,9 +103,21 @@ def _total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
 
 
-def sample_diff(source: DataFrame, target: DataFrame, n: int) -> DataFrame:
-    """`diff_rows` of the two content-ordered samples, compared on the cluster."""
+# How a sample is drawn: the first rows in content order, or rows spread over the table.
+FIRST, SPREAD = "first", "spread"
+
+
+def sample_diff(source: DataFrame, target: DataFrame, n: int, method: str = FIRST) -> DataFrame:
+    """`diff_rows` of the two samples, compared on the cluster.
+
+    'first' takes the first rows in content order, 'spread' those of the least row hashes,
+    so a difference anywhere in the tables has the same chance to be seen.
+    """
     _require_same_schema(source, target)
+    if method == SPREAD:
+        return diff_rows(spread_sample(source, n), spread_sample(target, n))
+    if method != FIRST:
+        raise ValueError(f"unknown sample method: {method}")
     order = whole_row_order(source.schema)
     return diff_rows(sample_rows(source, n, order), sample_rows(target, n, order))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import column, comparable, quoted
+from tablevault.functions.columns import column, comparable, quoted, row_hash
 
 
 def positive_ids(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -48,6 +48,19 @@ def sample_rows(df: DataFrame, n: int, order_by: list[Column] | None = None) ->
     return df.coalesce(SAMPLE_TASKS).orderBy(*order).limit(n)
 
 
+def spread_sample(df: DataFrame, n: int) -> DataFrame:
+    """`n` rows spread evenly over the table, the same for equal tables.
+
+    Taken are the rows of the least row hashes. First the hashes alone are merged, at most
+    `n` of 8 bytes from each task; the rows at or below the last of them are then fetched by
+    a filter. Copies of a row share a hash, so each task hands on `n` of them at most.
+    """
+    hashed = df.select(row_hash(df.schema).alias("hash"))
+    last = hashed.orderBy("hash").limit(n).agg(F.max("hash"))
+    order = [row_hash(df.schema), *whole_row_order(df.schema)]
+    return df.where(row_hash(df.schema) <= last.scalar()).orderBy(*order).limit(n)
+
+
 def numbered(
     df: DataFrame, rank: str, level: str, ordinal: str, *, ties: list[str] | None = None,
     range_bits: int = 16,

@@ -113,10 +113,11 @@ class Vault:
         return log.read_audit(self.spark, self.audit_path)
 
     def _history(self, name: TableName) -> DataFrame:
-        rows = self.audit()
-        for part, value in name.key.items():
-            rows = rows.filter(F.col(part) == value)
-        return rows
+        return log.read_table_audit(self.spark, self.audit_path, name.key)
+
+    def compact_audit(self, least_files: int = log.MOST_FILES) -> int:
+        """Write the logs of tables that have many files as one file each; see `audit.compact`."""
+        return log.compact(self.spark, self.audit_path, least_files)
 
     def versions(self) -> DataFrame:
         """Every version that can be restored, with what the log says about it."""

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.operators.diff import diff_counts, fingerprint, same_schema, sample_diff
+from tablevault.operators.diff import FIRST, diff_counts, fingerprint, same_schema, sample_diff
 from tablevault.operators.profile import profile_diff
 
 logger = logging.getLogger(__name__)
@@ -18,13 +18,15 @@ logger = logging.getLogger(__name__)
 class Checks:
     """Which checks decide.
 
-    `full_diff` is exact and covers the sample, so the sample is only drawn without it.
+    `full_diff` is exact and covers the sample, so the sample is only drawn without it, by
+    `sample_method`: 'first' in content order, or 'spread' over the table.
     `fingerprint` is the check for very large tables: one scan per side, no shuffle of rows.
     """
 
     row_count: bool = True
     sample: bool = True
     sample_size: int = 1000
+    sample_method: str = FIRST
     full_diff: bool = True
     fingerprint: bool = False
     profile: bool = False
@@ -44,7 +46,7 @@ def verify(source: DataFrame, target: DataFrame, checks: Checks = Checks()) -> D
     else:
         parts.append(_counts(source, target))
         if checks.sample:
-            parts.append(_sample_counts(source, target, checks.sample_size))
+            parts.append(_sample_counts(source, target, checks))
     if checks.fingerprint:
         parts.append(_fingerprint_match(source, target))
     if checks.profile:
@@ -63,9 +65,9 @@ def _counts(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _sample_counts(source: DataFrame, target: DataFrame, n: int) -> DataFrame:
+def _sample_counts(source: DataFrame, target: DataFrame, checks: Checks) -> DataFrame:
     copies = F.coalesce(F.col("_copies"), F.lit(0))
-    return sample_diff(source, target, n).agg(
+    return sample_diff(source, target, checks.sample_size, checks.sample_method).agg(
         F.coalesce(F.sum(F.when(F.col("_side") == "missing", copies)), F.lit(0)).alias(
             "missing_rows"
         ),

@@ -37,6 +37,12 @@ def make_directory(spark: SparkSession, path: str) -> None:
     fs.mkdirs(handle)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a directory of few; none if there is no such directory."""
+    fs, handle = _open(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(handle)] if fs.exists(handle) else []
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a directory tree; false when there was nothing to remove."""
     fs, handle = _open(spark, path)

@@ -128,3 +128,13 @@ def test_large_embedding_arrays(spark):
 def test_bucket_number_is_bounded(spark, sample):
     with pytest.raises(ValueError, match="buckets"):
         diff_rows_in_suspect_buckets(sample, sample, 1 << 30)
+
+
+def test_spread_sample_sees_what_the_first_rows_hide(spark):
+    a = spark.range(20_000).toDF("id")
+    b = a.where("id < 10000")
+    assert sample_diff(a, b, 100).count() == 0
+    assert sample_diff(a, b, 100, "spread").count() > 0
+    assert sample_diff(a, a.repartition(3), 100, "spread").count() == 0
+    with pytest.raises(ValueError, match="unknown sample method"):
+        sample_diff(a, b, 100, "other")

@@ -86,3 +86,53 @@ def test_malformed_rows_are_counted(spark, tmp_path):
     assert (result.rows_read, result.rows_written, result.rows_malformed) == (4, 2, 2)
     result = run_etl(spark, str(tmp_path / "in.csv"), str(tmp_path / "text"))
     assert (result.rows_read, result.rows_written, result.rows_malformed) == (4, 2, 1)
+
+
+DOUBLED = 'id,text\n1,"say ""hi"", ok"\n2,"x, ""y"" z"\n0,gone\n3,"two\nlines"\n'
+
+
+def test_doubled_quotes_lose_nothing(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(DOUBLED)
+    for schema in (None, "id int, text string"):
+        out = str(tmp_path / f"out-{schema is None}")
+        result = run_etl(spark, str(tmp_path / "in.csv"), out, schema=schema)
+        assert (result.rows_read, result.rows_written, result.rows_malformed) == (4, 3, 0)
+        assert result.dialect == "rfc4180"
+        rows = read_files(spark, out, "csv", "id int, text string").collect()
+        assert sorted(map(tuple, rows)) == [
+            (1, 'say "hi", ok'), (2, 'x, "y" z'), (3, "two\nlines"),
+        ]
+
+
+@pytest.mark.parametrize("schema", [None, "id int, text string"])
+def test_a_wrong_dialect_does_not_go_unseen(spark, tmp_path, schema):
+    (tmp_path / "in.csv").write_text('id,text\n1,"say ""hi"", ok"\n')
+    result = run_etl(
+        spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), schema=schema, dialect="foreign"
+    )
+    assert result.rows_malformed == 1
+
+
+def test_header_in_another_order_by_name(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("value,note,id\n7,x,1\n8,y,-1\n")
+    out = str(tmp_path / "out")
+    result = run_etl(
+        spark, str(tmp_path / "in.csv"), out, schema="id int, value int", by_name=True
+    )
+    assert (result.rows_read, result.rows_written, result.rows_malformed) == (2, 1, 0)
+    assert read_files(spark, out, "csv", "id int, value int").collect() == [(1, 7)]
+
+
+def test_rejected_records_are_kept_whole(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('id,text\n1,a\n2,b,"more ""of"" it"\n-3,c,d\n4\n5,e\n')
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    result = run_etl(
+        spark, str(tmp_path / "in.csv"), out, schema="id int, text string", rejects=bad
+    )
+    assert (result.rows_read, result.rows_written, result.rows_malformed) == (5, 2, 3)
+    assert sorted(r.id for r in read_files(spark, out, "csv", "id int, text string").collect()) == [1, 5]
+    found = spark.read.parquet(bad).collect()
+    assert sorted(r.record.strip() for r in found) == ['-3,c,d', '2,b,"more ""of"" it"', "4"]
+    assert all(r.file.endswith("in.csv") for r in found)
+    with pytest.raises(ValueError, match="only records of CSV"):
+        run_etl(spark, out, bad, fmt="parquet", rejects=bad)

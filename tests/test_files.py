@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 
 import pytest
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tablevault import diff_rows, object_store_path, read_files, read_or_none, write_files
 from tablevault.sources import filesystem
+from tablevault.sources.files import csv_dialect
 
 AWKWARD = [
     "", None, " lead", "trail ", "\ttab", "a\nb", "a\r\nb", "a\rb", 'q"q', '""', '"', "\\",
     '\\"', "a,b", "#c", "é x", "'", "\n", "\r", " ", "NULL", '"a"b","c', "007",
+    '"\0', '\0"', "\0",
 ]
 
 
@@ -126,3 +129,95 @@ def test_filesystem(spark, tmp_path):
     assert not filesystem.delete(spark, b)
     with pytest.raises(Exception):
         filesystem.rename(spark, a, b)
+
+
+RFC = 'id,text\n1,"say ""hi"", ok"\n2,"x, ""y"" z"\n3,"""all"""\n4,\n5,""\n6,"two\nlines"\n7,C:\\dir\\\n'
+RFC_ROWS = [
+    (1, 'say "hi", ok'), (2, 'x, "y" z'), (3, '"all"'), (4, None), (5, None), (6, "two\nlines"),
+    (7, "C:\\dir\\"),
+]
+BACKSLASHED = 'id,text\n1,"say \\"hi\\", ok"\n2,"\\"all\\" of it"\n3,""\n4,\n'
+
+
+def test_doubled_quotes_keep_every_character(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(RFC)
+    path = str(tmp_path / "in.csv")
+    for dialect in ("rfc4180", "detect"):
+        rows = read_files(spark, path, "csv", "id int, text string", dialect=dialect)
+        assert sorted(map(tuple, rows.collect())) == RFC_ROWS
+    with pytest.raises(ValueError, match="unknown CSV dialect"):
+        read_files(spark, path, "csv", dialect="other")
+
+
+def test_the_dialect_is_told_by_its_quotes(spark, tmp_path):
+    def told(text):
+        (tmp_path / "in.csv").write_text(text)
+        return csv_dialect(spark, str(tmp_path / "in.csv"))
+
+    assert told(RFC) == "rfc4180"
+    assert told(BACKSLASHED) == "foreign"
+    assert told("id,text\n1,plain\n2,\"\"\n") == "foreign"
+    assert told('id,text\n1,"a ""path\\"\n2,"C:\\"\n') == "rfc4180"
+    assert told("") == "foreign"
+    with pytest.raises(ValueError, match="name its dialect"):
+        told(RFC + BACKSLASHED)
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.text(st.sampled_from('a",\\\n é'), min_size=1, max_size=12), min_size=1, max_size=30
+    )
+)
+def test_csv_of_python_comes_back(spark, tmp_path_factory, texts):
+    path = tmp_path_factory.mktemp("python") / "in.csv"
+    with open(path, "w", newline="") as file:
+        writer = csv.writer(file, lineterminator="\n")
+        writer.writerows([("text", "id"), *[(t, i) for i, t in enumerate(texts)]])
+    rows = read_files(
+        spark, str(path), "csv", "id int, text string", dialect="rfc4180", by_name=True,
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    )
+    assert [r.text for r in sorted(rows.collect())] == texts
+
+
+def test_columns_by_header(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("Value,more,ID\n7,x,1\n8,y,2\n")
+    path = str(tmp_path / "in.csv")
+    rows = read_files(spark, path, "csv", "id bigint, value int", dialect="rfc4180", by_name=True)
+    assert rows.dtypes == [("id", "bigint"), ("value", "int")]
+    assert sorted(map(tuple, rows.collect())) == [(1, 7), (2, 8)]
+    with pytest.raises(ValueError, match="lacks other"):
+        read_files(spark, path, "csv", "id int, other int", by_name=True)
+    (tmp_path / "many").mkdir()
+    (tmp_path / "many" / "a.csv").write_text("value,id\n7,1\n")
+    (tmp_path / "many" / "b.csv").write_text("id,value\n2,8\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_files(spark, str(tmp_path / "many"), "csv", "id int, value int", by_name=True).collect()
+
+
+def test_rescued_records(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('id,text\n1,fine\n2,a,b\n3\nx,bad id\n4,"two\nlines",more\n')
+    path = str(tmp_path / "in.csv")
+    rows = read_files(
+        spark, path, "csv", "id int, text string", dialect="rfc4180", rescue="record"
+    )
+    found = {r.record.strip() for r in rows.where("record IS NOT NULL").collect()}
+    assert found == {"2,a,b", "3", "x,bad id", '4,"two\nlines",more'}
+    assert rows.select("id").where("id = 1").count() == 1
+    inferred = read_files(spark, path, "csv", dialect="rfc4180", rescue="record")
+    assert inferred.columns == ["id", "text", "record"]
+    assert inferred.where("record IS NOT NULL").count() == 3  # ids are text here
+
+
+def test_files_without_text_are_split(spark, tmp_path):
+    numbers = spark.range(40_000).select("id", (F.col("id") * 2).alias("twice"))
+    write_files(numbers.coalesce(1), str(tmp_path / "n"), "csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = read_files(spark, str(tmp_path / "n"), "csv", numbers.schema)
+        assert rows.rdd.getNumPartitions() > 3
+        assert rows.agg(F.sum("twice")).first()[0] == 2 * sum(range(40_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

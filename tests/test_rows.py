@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablevault import positive_ids, row_count, sample_rows
-from tablevault.operators.rows import numbered
+from tablevault.operators.diff import fingerprint
+from tablevault.operators.rows import numbered, spread_sample
 
 
 def ids(df):
@@ -79,3 +80,43 @@ def test_numbering_refuses_a_missing_level(spark):
     df = spark.createDataFrame([(1, 1), (None, 2)], "priority int, ordinal bigint")
     with pytest.raises(Exception, match="priority must not be NULL"):
         numbered(df, "rank", "priority", "ordinal").collect()
+
+
+def test_spread_sample_does_not_depend_on_layout(spark, orders):
+    one = spread_sample(orders, 100).collect()
+    assert one == spread_sample(orders.repartition(7, "o_totalprice"), 100).collect()
+    assert len(one) == 100
+    assert spark.createDataFrame(one, orders.schema).exceptAll(orders).count() == 0
+
+
+def test_spread_sample_is_spread(spark):
+    rows = spark.range(100_000).select("id", F.lit("x").alias("x"))
+    tenths = spread_sample(rows, 1000).groupBy((F.col("id") / 10_000).cast("int")).count().collect()
+    assert len(tenths) == 10 and all(60 < r["count"] < 150 for r in tenths)
+
+
+def test_spread_sample_of_copies_and_small_tables(spark, sample):
+    same = spark.range(5000).select(F.lit(1).alias("a"), F.lit(None).cast("int").alias("b"))
+    assert spread_sample(same, 10).collect() == [(1, None)] * 10
+    assert spread_sample(sample, 1000).count() == 3
+    assert spread_sample(sample.limit(0), 5).collect() == []
+    maps = spark.sql("SELECT map('b', 1, 'a', 2) m UNION ALL SELECT map('a', 2, 'b', 1)")
+    assert spread_sample(maps, 1).count() == 1
+
+
+def test_spread_sample_merges_hashes_and_not_rows(spark, orders):
+    plan = spread_sample(orders, 100)._jdf.queryExecution().executedPlan().toString()
+    merges = [line for line in plan.splitlines() if "TakeOrderedAndProject" in line]
+    hashes = [line for line in merges if "orderBy=[hash#" in line]
+    assert "Subquery" in plan and 0 < len(hashes) < len(merges)
+    assert not any("o_orderstatus" in line for line in hashes)
+
+
+def test_equal_rows_have_equal_fingerprints_and_nulls_count(spark):
+    def seen(sql):
+        return tuple(fingerprint(spark.sql(sql)).first())
+
+    wide = ", ".join(f"{'NULL' if i == 64 else i} AS c{i}" for i in range(70))
+    moved = ", ".join(f"{'NULL' if i == 65 else i} AS c{i}" for i in range(70))
+    assert seen(f"SELECT {wide}") == seen(f"SELECT {wide}") != seen(f"SELECT {moved}")
+    assert seen("SELECT int(NULL) a, 1 b") != seen("SELECT 1 a, int(NULL) b")
