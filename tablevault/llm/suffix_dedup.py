@@ -1,4 +1,4 @@
-"""Removal of long repeated byte strings, by a radix sort that is limited in depth."""
+"""Removal of long repeated byte strings, by grouping suffixes through a limited depth."""
 
 from __future__ import annotations
 
@@ -124,12 +124,15 @@ def remove_repeated_bytes(
 ) -> DataFrame:
     """Remove every byte that lies in a string of `length` bytes which also starts earlier.
 
-    Suffixes are sorted only through their first `length` bytes, by passes over digits of
-    falling significance, and a group that is down to one suffix leaves the sort. The most
-    significant digit is the suffix's least `gram`-byte string, which neighbouring suffixes
-    share, so that they travel as one row; then comes the run of such neighbours as a whole,
-    then the suffix's other bytes. Groups that are equal in all digits are exactly the
-    repeated strings. Digits are compared as 64-bit hashes, two or three for each decision.
+    Suffixes are told apart only through their first `length` bytes, by keys of falling
+    significance, and a group that is down to one suffix leaves. They are grouped by hashes
+    of the keys, not put in order: the groups are those of a radix sort, and nothing but the
+    groups is needed. The first key is the suffix's least `gram`-byte string, which
+    neighbouring suffixes share, so that they travel as one row; then comes the run of such
+    neighbours as a whole, then the suffix's other bytes. Groups that are equal in all keys
+    are exactly the repeated strings. Keys are compared as 64-bit hashes, two or three for
+    each decision. For long strings the first key is longer than `gram`, since a run has no
+    more than `2 ** SPAN_BITS` suffixes.
 
     Earlier means a smaller id or, in one document, an earlier start. Returns per input row:
     id, `n_bytes`, `removed` (array of start and end of the maximal removed runs) and `kept`
@@ -137,6 +140,9 @@ def remove_repeated_bytes(
     rows that share an id count as documents in the order of their texts; texts shorter than
     `length` keep all bytes; other columns are not read.
     """
+    if not 0 < gram <= length:
+        raise ValueError("gram must be between 1 and length")
+    gram = max(gram, length + 1 - (1 << R.SPAN_BITS))
 
     def keys(rows):
         for texts in R.batches(rows):

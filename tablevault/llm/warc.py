@@ -144,7 +144,8 @@ def write_archives(records: DataFrame, path: str) -> DataFrame:
 
         def started():
             dictionary = _dictionary([r["payload"] for r in held if r["payload"]])
-            stream = system.open_output_stream(part)
+            # The name ends in .zst, which must not make a second compression of it.
+            stream = system.open_output_stream(part, compression=None)
             stream.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
             used = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
             return stream, zstandard.ZstdCompressor(
@@ -249,7 +250,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
             for file in batch.column("file").to_pylist():
                 system, name = _file_system(file)
                 rows, size = [], 0
-                with system.open_input_stream(name) as stream:
+                with system.open_input_stream(name, compression=None) as stream:
                     for record in _frames(stream):
                         row = _parsed(record)
                         if row["record_type"] == "response":

@@ -86,43 +86,89 @@ def near_duplicates(docs: list[tuple], shingle: int = 4, distance: int = 4) -> d
     return {doc: (f"{prints[doc]:016x}", root(doc)) for doc in ids}
 
 
-def recurring_lines(docs: list[tuple], least_docs=4, least_tokens=3, similarity=0.8) -> dict:
-    """{doc_id: numbers of the lines that go}"""
-    places, holders = [], {}
+def recurring_lines(
+    docs: list[tuple], least_docs=4, least_tokens=3, similarity=0.8, short_lines=True,
+    long_tokens=50, long_chars=300, copies: dict | None = None,
+) -> dict:
+    """{doc_id: numbers of the lines that go}; `copies` is {doc_id: its group}"""
+    any_token, places, holders = "<*>", [], {}
     for doc, text in docs:
         for at, line in enumerate((text or "").split("\n")):
-            tokens = [t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
-            tokens = tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)
-            if sum(t != "<*>" for t in tokens) >= least_tokens:
-                places.append((doc, at, tokens))
-                holders.setdefault(tokens, set()).add(doc)
+            raw = tuple(t for t in re.split(r"[\x20\x09-\x0D]+", line) if t)
+            if not raw:
+                continue
+            tokens = tuple(any_token if re.search("[0-9]", t) else t for t in raw)
+            variants = []
+            if sum(t != any_token for t in tokens) >= least_tokens:
+                variants.append(("masked", tokens))
+            elif short_lines:
+                variants.append(("exact", raw))
+            if len(raw) >= long_tokens or len(line) >= long_chars:
+                variants.append(("long", raw))
+            for variant in variants:
+                holder = copies.get(doc, doc) if copies and variant[0] == "long" else doc
+                places.append((doc, at, variant, holder))
+                holders.setdefault(variant, set()).add(holder)
+    weight = {v: len(h) for v, h in holders.items()}
+
+    def agreeing(group):
+        """The variants of a group that agree with its constants."""
+        total, constants = sum(weight[v] for v in group), {}
+        for at in range(len(group[0][1])):
+            counts = Counter()
+            for v in group:
+                counts[v[1][at]] += weight[v]
+            common = [t for t, n in counts.items() if 2 * n >= total]
+            if common:
+                constants[at] = max(common, key=str.encode)
+        return [
+            v for v in group
+            if sum(constants.get(i) == t for i, t in enumerate(v[1])) / len(v[1]) >= similarity
+        ]
+
+    def worth(group):
+        return len(group) > 1 and sum(weight[v] for v in group) >= least_docs
+
     leaves: dict = {}
-    for tokens in holders:
-        leaves.setdefault((len(tokens), tokens[:3]), []).append(tokens)
-    templates: dict = {}
-    for leaf, variants in leaves.items():
-        total = sum(len(holders[v]) for v in variants)
-        constants = {}
-        if total >= least_docs and len(variants) > 1:
-            for at in range(leaf[0]):
-                counts: dict = {}
-                for v in variants:
-                    counts[v[at]] = counts.get(v[at], 0) + len(holders[v])
-                common = [t for t, n in counts.items() if 2 * n >= total]
-                if common:
-                    constants[at] = max(common, key=lambda t: t.encode())
-        for v in variants:
-            agrees = sum(constants.get(i) == t for i, t in enumerate(v)) / len(v)
-            templates[v] = leaf if constants and agrees >= similarity else v
-    held: dict = {}
-    for v, template in templates.items():
-        held.setdefault(template, set()).update(holders[v])
-    gone: dict = {doc: [] for doc, _ in docs}
-    for doc, at, tokens in places:
-        found = held[templates[tokens]]
-        if len(found) >= least_docs and doc != min(found):
-            gone[doc].append(at)
-    return gone
+    for v in holders:
+        if v[0] == "masked":
+            leaves.setdefault((len(v[1]), v[1][:3]), []).append(v)
+    template, fresh = {}, 0
+    open_groups = [g for g in leaves.values() if worth(g)]
+    while open_groups:
+        finer = []
+        for group in open_groups:
+            fits = agreeing(group)
+            fresh += 1
+            template |= dict.fromkeys(fits, fresh)
+            rest = [v for v in group if v not in set(fits)]
+            if not worth(rest):
+                continue
+            total, held = sum(weight[v] for v in rest), Counter()
+            for v in rest:
+                for at, t in enumerate(v[1]):
+                    held[at, t] += weight[v]
+            parts: dict = {}
+            for v in rest:
+                own = [
+                    (held[at, t], -at, t.encode()) for at, t in enumerate(v[1])
+                    if least_docs <= held[at, t] < total
+                ]
+                if own or len(rest) < len(group):
+                    parts.setdefault(max(own)[1:] if own else None, []).append(v)
+            finer += [p for p in parts.values() if worth(p)]
+        open_groups = finer
+
+    held_by: dict = {}
+    for v, found in holders.items():
+        held_by.setdefault(template.get(v, v), set()).update(found)
+    gone: dict = {doc: set() for doc, _ in docs}
+    for doc, at, v, holder in places:
+        found = held_by[template.get(v, v)]
+        least = min(2, least_docs) if v[0] == "long" else least_docs
+        if len(found) >= least and holder != min(found):
+            gone[doc].add(at)
+    return {doc: sorted(at) for doc, at in gone.items()}
 
 
 def contaminated(docs: list[tuple], items: list[str], window: int = 10) -> set:

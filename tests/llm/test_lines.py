@@ -1,9 +1,13 @@
 """Recurring lines that op9 and the pipeline's line stage must drop."""
 
+import brute
 import corpus_pipeline as pipeline
 from conftest import words
 
 from tablevault.llm import queries as Q
+from tablevault.llm.common import table
+
+SF = "/root/testdata/sf0.01"
 
 
 def dropped(spark, rows, tmp_path):
@@ -55,3 +59,27 @@ def test_copies_of_a_document_keep_their_long_lines_for_the_next_stage(documents
         1: own, 2: own + " end", 3: words(900, 90),
     }
     assert {r["doc_id"] for r in stages["near_dedup"](spark, lines, "").collect()} == {1, 3}
+
+
+def test_query_over_all_documents(spark):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+    gone = brute.recurring_lines(list(texts.items()))
+    assert sum(map(len, gone.values())) > 100
+    rows = Q.op9_template_tree(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        lines = texts[r["doc_id"]].split("\n")
+        kept = [x for i, x in enumerate(lines) if i not in set(gone[r["doc_id"]])]
+        assert r["dropped_lines"] == gone[r["doc_id"]]
+        assert (r["n_lines"], r["n_dropped"]) == (len(lines), len(lines) - len(kept))
+        assert r["kept_sha256"] == brute.sha("\n".join(kept))
+
+
+def test_no_lines(documents, spark, tmp_path):
+    assert dropped(spark, documents(), tmp_path) == {}
+    (tmp_path / "odd").mkdir()
+    same = "the same few words"
+    rows = documents((1, None), (2, ""), (3, "\n\n"), (4, same), (4, same), (5, same), (6, same), (7, same))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    got = {(r["doc_id"], tuple(r["dropped_lines"])) for r in Q.op9_template_tree(spark, f"{tmp_path}/odd").collect()}
+    assert got == {(1, ()), (2, ()), (3, ()), (4, ()), (5, (0,)), (6, (0,)), (7, (0,))}

@@ -173,6 +173,44 @@ def test_archives_round_trip(spark, tmp_path):
     assert got[None]["refers_to"] == 1 and got[1]["record_type"] == "response"
 
 
+def test_an_archive_is_a_dictionary_and_a_frame_for_each_record(spark, tmp_path):
+    import struct
+
+    import zstandard
+
+    rows = [(i, f"http://m/{i}", f"<html>{words(i * 50, 60)}</html>") for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    records = warc.with_record_types(pages).coalesce(1)
+    file, count, size = warc.write_archives(records, f"file://{tmp_path}/w").first()
+    with open(file.removeprefix("file://"), "rb") as f:
+        data = f.read()
+    assert (count, size) == (80, len(data))
+    magic, length = struct.unpack("<II", data[:8])
+    assert magic == warc.DICTIONARY_MAGIC == 0x184D2A5D and length > 0
+    dictionary = zstandard.ZstdCompressionDict(data[8 : 8 + length])
+    at, starts = 8 + length, []
+    while at < len(data):
+        frame = zstandard.ZstdDecompressor(dict_data=dictionary).decompressobj()
+        record = frame.decompress(data[at:])
+        assert frame.eof and record.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
+        starts.append(at)
+        at = len(data) - len(frame.unused_data)
+    assert len(starts) == 80
+    # Any record alone, from where it starts, and not without the dictionary.
+    reader = zstandard.ZstdDecompressor(dict_data=dictionary).decompressobj()
+    assert b"WARC-Record-ID: <urn:page:" in reader.decompress(data[starts[41] :])
+    with pytest.raises(zstandard.ZstdError):
+        zstandard.ZstdDecompressor().decompressobj().decompress(data[starts[41] :])
+
+
+def test_archives_of_no_pages(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    files = warc.write_archives(warc.with_record_types(pages), f"file://{tmp_path}/none")
+    assert files.collect() == []
+    files = spark.createDataFrame([], files.schema)
+    assert warc.read_archives(files).collect() == []
+
+
 def test_damaged_archives_are_reported(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a", "text" * 100)], "page_id long, url string, html string")
     files = warc.write_archives(warc.with_record_types(pages).coalesce(1), f"file://{tmp_path}/w")

@@ -158,3 +158,20 @@ def test_recurring_lines_and_their_variants(documents):
     assert all(got[30 + i]["dropped_lines"] == [] for i in range(5))  # figures alone
     assert got[20]["text"] is None and got[21]["text"] == ""
     assert got[1]["source"] == "s"
+
+
+@pytest.mark.parametrize("length", [300, 400, 600])
+def test_strings_longer_than_a_run(documents, length):
+    shared = words(0, 400)[:1500]
+    rows = [
+        (1, shared), (2, words(900, 60) + shared[100:1400] + words(2000, 60)),
+        (3, shared[:length] + "#" + shared[7 : 7 + length]), (4, "ab" * length), (5, shared[: length - 1]),
+    ]
+    got = {
+        r["doc_id"]: (r["n_bytes"], brute.sha(bytes(r["kept"])))
+        for r in remove_repeated_bytes(documents(*rows), length=length).collect()
+    }
+    want = brute.repeated_bytes(rows, length)
+    assert got == {d: (v[0], v[3]) for d, v in want.items()}
+    with pytest.raises(ValueError):
+        remove_repeated_bytes(documents(), gram=101)
