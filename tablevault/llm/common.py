@@ -58,6 +58,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop what finished steps still hold: shuffle files, broadcasts, plans.
+
+    They go when the driver's JVM has collected what stood for them, which may be long after
+    many steps that leave their results in tables. For loops of such steps.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

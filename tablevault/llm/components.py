@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.llm.common import stored
+from tablevault.llm.common import release, stored
 
 _MOST_ROUNDS = 60
 
@@ -35,6 +35,7 @@ def components(links: DataFrame) -> DataFrame:
                 F.bit_xor(F.xxhash64("v", "u", F.lit(1))),
             ).first()
         )
+        release(edges.sparkSession)
         if state == before:
             break
         before = state

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import column
-from tablevault.llm.common import stored, text_or_empty
+from tablevault.llm.common import release, stored, text_or_empty
 
 WILDCARD = "<*>"
 DEPTH = 3  # leading tokens that the tree branches on, below the number of tokens
@@ -28,49 +28,83 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _split(line: Column) -> Column:
-    return F.filter(F.split(line, _GAP), lambda t: t != "")
+def _spaced(line: Column) -> Column:
+    """A line's tokens with one space between them."""
+    return F.trim(F.regexp_replace(line, _GAP, " "))
 
 
-def _masked(tokens: Column) -> Column:
-    """Tokens, with every one that holds a digit generalised."""
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), WILDCARD).otherwise(t))
+def _masked(spaced: Column) -> Column:
+    """The same, with every token that holds a digit generalised.
 
+    The pattern begins at tokens alone, so tokens of any length are read once.
+    """
+    return F.regexp_replace(spaced, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", WILDCARD)
+
+
+def _tokens(spaced: Column) -> Column:
+    """The number of tokens."""
+    gaps = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+    return F.when(spaced == "", 0).otherwise(gaps + 1)
+
+
+def _words(spaced: Column) -> Column:
+    """The number of tokens that are no wildcard."""
+    apart = F.concat(F.lit(" "), F.replace(spaced, F.lit(" "), F.lit("  ")), F.lit(" "))
+    other = F.replace(apart, F.lit(f" {WILDCARD} "), F.lit(""))
+    return _tokens(spaced) - (F.length(apart) - F.length(other)) / (len(WILDCARD) + 2)
 
-def _described(
-    lines: Column, least_tokens: int, short_lines: bool = False, with_line: bool = False
-) -> Column:
-    """Number, leaf, masked hash and perhaps text of each line that has enough tokens without digits.
+
+def _leaf(tokens: Column, leading: Column) -> Column:
+    return F.xxhash64(tokens, F.substring_index(leading, " ", DEPTH))
+
+
+def _described(lines: DataFrame, least_tokens: int, short_lines: bool) -> DataFrame:
+    """`lines` (line, ...) with the leaf and masked hash of each that has enough tokens without digits.
 
     The leaf is the place in the tree: the number of tokens and the leading ones. With
     `short_lines`, other lines that have a token are described too, unmasked: their hash is
     that of the tokens as they are, and also their leaf, so each has a leaf of its own. Long
     lines are described once more, unmasked, with the inverse of their hash as the leaf.
+    A row is a line, so all of this is generated code.
     """
+    spaced = lines.withColumn("spaced", _spaced(F.col("line")))
+    counted = spaced.withColumns(
+        {"general": _masked(F.col("spaced")), "tokens": _tokens(F.col("spaced"))}
+    ).withColumn("enough", _words(F.col("general")) >= least_tokens)
+    enough, some = F.col("enough"), F.col("tokens") > 0
+    long = (F.col("tokens") >= LONG_TOKENS) | (F.char_length("line") >= LONG_CHARS)
+    leaf = F.when(enough, _leaf(F.col("tokens"), F.col("general")))
+    masked = F.when(enough, F.xxhash64("general"))
+    if short_lines:
+        exact = F.xxhash64("spaced", F.lit(EXACT))
+        leaf, masked = leaf.when(some, exact), masked.when(some, exact)
+    kept = [c for c in lines.columns if c != "line"]
+    found = counted.select(
+        *kept,
+        leaf.alias("own_leaf"),
+        masked.alias("own_masked"),
+        F.when(long & some, F.xxhash64("spaced", F.lit(LONG))).alias("passage"),
+    )
+    entry = F.array(
+        F.struct(F.col("own_leaf").alias("leaf"), F.col("own_masked").alias("masked")),
+        F.struct(F.bitwise_not("passage").alias("leaf"), F.col("passage").alias("masked")),
+    )
+    return found.select(*kept, F.inline(entry)).where("leaf IS NOT NULL")
 
-    def entry(i, leaf, masked, line):
-        more = [line.alias("line")] if with_line else []
-        return F.struct(i.alias("at"), leaf.alias("leaf"), masked.alias("masked"), *more)
-
-    def bound(value, use):
-        return F.transform(F.array(value), use)[0]
-
-    def describe(line, i):
-        def of(raw, t):
-            enough = F.size(F.filter(t, lambda x: x != WILDCARD)) >= least_tokens
-            leaf = F.xxhash64(F.size(t), F.slice(t, 1, DEPTH))
-            found = F.when(enough, entry(i, leaf, F.xxhash64(t), line))
-            if short_lines:
-                exact = F.xxhash64(raw, F.lit(EXACT))
-                found = found.when(F.size(raw) > 0, entry(i, exact, exact, line))
-            exact = F.xxhash64(raw, F.lit(LONG))
-            long = (F.size(raw) >= LONG_TOKENS) | (F.char_length(line) >= LONG_CHARS)
-            long = F.when(long & (F.size(raw) > 0), entry(i, F.bitwise_not(exact), exact, line))
-            return F.array(found, long)
 
-        return bound(_split(line), lambda raw: bound(_masked(raw), lambda t: of(raw, t)))
+def _general_lines(lines: DataFrame, least_tokens: int) -> DataFrame:
+    """(leaf, spaced) of the lines (line) that may be generalised.
 
-    return F.filter(F.flatten(F.transform(lines, describe)), lambda d: d.isNotNull())
+    The leaf takes no more than the leading tokens to be masked, so lines of leaves that are
+    of no interest can be left out before the rest is.
+    """
+    # A generator keeps later filters from repeating what is below it.
+    spaced = lines.select(F.explode(F.array(_spaced(F.col("line")))).alias("spaced"))
+    enough = _tokens(F.col("spaced")) >= least_tokens
+    leading = _masked(F.substring_index("spaced", " ", DEPTH))
+    return spaced.where(enough).select(
+        _leaf(_tokens(F.col("spaced")), leading).alias("leaf"), "spaced"
+    )
 
 
 def _long() -> Column:
@@ -101,11 +135,9 @@ def line_places(
     rows = docs.select(
         column(id_col).alias("doc"),
         F.xxhash64(text_or_empty(text_col)).alias("content"),
-        lines_of(text_or_empty(text_col)).alias("lines"),
-    )
-    return rows.select(
-        "doc", "content", F.inline(_described(F.col("lines"), least_tokens, short_lines))
+        F.posexplode(lines_of(text_or_empty(text_col))).alias("at", "line"),
     )
+    return _described(rows, least_tokens, short_lines)
 
 
 def _agreeing(groups: DataFrame, totals: DataFrame, similarity: float) -> DataFrame:
@@ -201,19 +233,22 @@ def recurring_templates(
         .select("leaf", "total")
     )
     # Unmasked lines are alone in their leaves, so their texts are not needed.
-    lines = docs.select(lines_of(text_or_empty(text_col)).alias("lines"))
+    lines = docs.select(F.explode(lines_of(text_or_empty(text_col))).alias("line"))
     texts = (
-        lines.select(F.inline(_described(F.col("lines"), least_tokens, with_line=True)))
-        .select("leaf", "masked", "line")
+        _general_lines(lines, least_tokens)
         .join(leaves.select("leaf"), "leaf", "left_semi")
-        .groupBy("leaf", "masked")
-        .agg(F.min("line").alias("line"))
+        .select("leaf", F.explode(F.array(_masked(F.col("spaced")))).alias("general"))
+        .where(_words(F.col("general")) >= least_tokens)
+        .distinct()
+    )
+    tokens = texts.select(
+        "leaf", F.xxhash64("general").alias("masked"), F.split("general", " ").alias("tokens")
     )
-    tokens = texts.select("leaf", "masked", _masked(_split(F.col("line"))).alias("tokens"))
     lines = tokens.join(variants.drop("first"), ["leaf", "masked"])
     groups = stored(lines.withColumn("group", F.col("leaf")), "open-lines")
     agreeing = [_agreeing(groups, leaves.withColumnRenamed("leaf", "group"), similarity)]
     while not (groups := _resplit(groups, agreeing[-1], least_documents)).isEmpty():
+        release(docs.sparkSession)
         totals = groups.groupBy("group").agg(F.sum("docs").alias("total"))
         agreeing.append(_agreeing(groups, totals, similarity))
     named = variants.join(reduce(DataFrame.unionByName, agreeing), ["leaf", "masked"], "left")
@@ -271,6 +306,7 @@ def drop_recurring_lines(
     """
     places = stored(line_places(docs, id_col, text_col, least_tokens, short_lines), "line-places")
     places = _held(places, copies)
+    release(docs.sparkSession)
     templates = stored(
         recurring_templates(docs, places, text_col, least_documents, least_tokens, similarity),
         "templates",

@@ -14,8 +14,8 @@ from tablevault.llm.common import python_tasks, stored, text_or_empty
 
 # Turns of a column block.
 WIDTH = 8
-# Turn numbers, and conversation ids of an end, that are handled together at most.
-_RANGE_BITS, _CHUNK = 10, 4096
+# Turn numbers, and conversation ids of an end, that are handled together: a power of two.
+_RANGE_BITS, _CHUNK_BITS = 10, 12
 _TURNS = [f"t{i}" for i in range(1, WIDTH + 1)]
 _EMPTY = hashlib.sha256().hexdigest()
 
@@ -223,11 +223,11 @@ def _rolled_up(blocks: DataFrame, *measures: str) -> DataFrame:
 def _end_digests(ends: DataFrame) -> DataFrame:
     """(n1, n2, sha): the digest of the ids that end at a node, in order.
 
-    The ids of a node are joined to texts by ranges of `_CHUNK` ids, so only the texts of
-    the ranges meet, sorted by Spark, and are fed to the digest one after the other.
+    The ids of a node are joined to texts by ranges of 4096 ids, so only the texts of the
+    ranges meet, sorted by Spark, and are fed to the digest one after the other.
     """
     python_tasks(ends.sparkSession)
-    ranges = ends.groupBy("n1", "n2", F.floor(F.col("conv") / _CHUNK).alias("range")).agg(
+    ranges = ends.groupBy("n1", "n2", F.shiftright("conv", _CHUNK_BITS).alias("range")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("conv")), lambda c: c.cast("string")), ",")
         .alias("ids")
     )
