@@ -21,7 +21,8 @@ LONG_CHARS = 300
 LEAST_LONG = 2
 SIMILARITY = 0.8
 EXACT, LONG = "exact", "long"  # tell the hashes of unmasked lines from others
-_GAP = r"[\x20\x09-\x0D]+"
+# White space between tokens that is not one space.
+_WIDE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
 def lines_of(text: Column) -> Column:
@@ -29,8 +30,8 @@ def lines_of(text: Column) -> Column:
 
 
 def _spaced(line: Column) -> Column:
-    """A line's tokens with one space between them."""
-    return F.trim(F.regexp_replace(line, _GAP, " "))
+    """A line's tokens with one space between them; most lines are so already."""
+    return F.trim(F.regexp_replace(line, _WIDE, " "))
 
 
 def _masked(spaced: Column) -> Column:
@@ -38,7 +39,8 @@ def _masked(spaced: Column) -> Column:
 
     The pattern begins at tokens alone, so tokens of any length are read once.
     """
-    return F.regexp_replace(spaced, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", WILDCARD)
+    general = F.regexp_replace(spaced, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", WILDCARD)
+    return F.when(spaced.rlike("[0-9]"), general).otherwise(spaced)
 
 
 def _tokens(spaced: Column) -> Column:
@@ -51,7 +53,8 @@ def _words(spaced: Column) -> Column:
     """The number of tokens that are no wildcard."""
     apart = F.concat(F.lit(" "), F.replace(spaced, F.lit(" "), F.lit("  ")), F.lit(" "))
     other = F.replace(apart, F.lit(f" {WILDCARD} "), F.lit(""))
-    return _tokens(spaced) - (F.length(apart) - F.length(other)) / (len(WILDCARD) + 2)
+    wild = (F.length(apart) - F.length(other)) / (len(WILDCARD) + 2)
+    return _tokens(spaced) - F.when(spaced.contains(WILDCARD), wild).otherwise(0)
 
 
 def _leaf(tokens: Column, leading: Column) -> Column:
