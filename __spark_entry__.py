@@ -289,6 +289,34 @@ def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_plan_catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per nation, each with several catalogs, and all tables in document order."""
+    customer = _table(spark, sf_dir, "customer")
+    settings = F.struct(
+        _frequency(F.col("c_mktsegment")).alias("backup_frequency"),
+        F.col("c_nationkey").alias("priority"),
+    )
+    tables = customer.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("c_name", settings)))).alias("tables")
+    )
+    schemas = F.create_map(F.lit("main"), F.struct("tables"))
+    catalogs = F.array_agg(F.struct("c_mktsegment", F.struct(schemas.alias("schemas"))))
+    documents = tables.groupBy("c_nationkey").agg(catalogs.alias("catalogs")).select(
+        (F.col("c_nationkey") * 1_000_000).alias("first"),
+        F.to_json(
+            F.struct(
+                F.lit("backup").alias("backup_catalog"), F.lit("dr").alias("backup_schema"),
+                F.map_from_entries(
+                    F.array_sort("catalogs", lambda a, b: F.when(a[0] < b[0], -1).otherwise(1))
+                ).alias("catalogs"),
+            )
+        ).alias("document"),
+    )
+    return plan_rows(documents, "document", "first").select(
+        "ordinal", "catalog", "schema", "table", "backup_frequency", "priority", "verify_enabled",
+    )
+
+
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as tables to protect."""
     return _table(spark, sf_dir, "customer").select(
@@ -626,6 +654,22 @@ def list_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.versions().select("catalog", "schema", "table", "target_version", "row_count")
 
 
+def leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a killed copy and a killed restore left behind, and the data once it is removed."""
+    orders, vault = _table(spark, sf_dir, "orders"), _vault(spark)
+    target, later = scratch_path(spark, "restored"), datetime(2100, 1, 1, tzinfo=timezone.utc)
+    vault.clone(orders, ORDERS)
+    vault.copy(_damaged(orders), ORDERS)  # written, but the run ended before it was published
+    vault.restore(ORDERS, target)
+    tv.write_files(_damaged(orders), f"{target}.restored-{uuid4().hex}")
+    found = vault.leftovers(as_of=later).groupBy("kind").agg(F.count(F.lit(1)).alias("folders"))
+    found = spark.createDataFrame(found.collect(), found.schema)  # before they go
+    vault.remove_leftovers(as_of=later)
+    left = vault.leftovers(as_of=later).agg(F.count(F.lit(1)).alias("left"))
+    rows = tv.row_count(vault.read(ORDERS), "orders").select("row_count")
+    return found.withColumns({"left_after": left.scalar(), "row_count": rows.scalar()})
+
+
 def _plan_of(spark: SparkSession, *tables: str) -> DataFrame:
     """A plan of daily backups of tables in shop.sales, in order."""
     return spark.createDataFrame(
@@ -656,6 +700,16 @@ def backup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def backup_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four tables at once, and what was published of each."""
+    vault, names = _vault(spark), ("orders", "customer", "lineitem", "part")
+    tv.run_backup(
+        vault, _plan_of(spark, *names), side_by_side=4, method="fingerprint",
+        source=lambda name: _table(spark, sf_dir, name.table),
+    )
+    return vault.versions().select("table", "target_version", "row_count", "verification_status")
+
+
 def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     vault = _vault(spark)
     vault.clone(
@@ -717,6 +771,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_spread": sample_spread,
         "backup_order": backup_order,
         "load_plan": load_plan,
+        "load_plan_catalogs": load_plan_catalogs,
         "due_check": due_check,
         "due_tables": due_tables,
         "retention_days": retention_days,
@@ -757,6 +812,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "created_time": created_time,
         "list_backups": list_backups,
         "backup_audit": backup_audit,
+        "backup_side_by_side": backup_side_by_side,
+        "leftovers": leftovers,
         "file_stats": file_stats,
         "describe_columns": describe_columns,
     }
@@ -893,6 +950,12 @@ def oracle_sql() -> dict[str, str]:
                    c_mktsegment = 'FURNITURE' AS use_external_location,
                    'backup' AS backup_catalog, 'dr' AS backup_schema
             FROM customer""",
+        "load_plan_catalogs": f"""
+            SELECT c_nationkey * 1000000 - 1 + row_number() OVER (
+                       PARTITION BY c_nationkey ORDER BY c_mktsegment, c_name) AS ordinal,
+                   c_mktsegment AS catalog, 'main' AS "schema", c_name AS "table",
+                   {_FREQUENCY_SQL} AS backup_frequency, c_nationkey AS priority,
+                   true AS verify_enabled FROM customer""",
         "due_check": due + """
             SELECT "table", backup_frequency, last_backup,
                    due_reason IN ('never backed up', 'interval elapsed') AS due, due_reason
@@ -1001,6 +1064,16 @@ def oracle_sql() -> dict[str, str]:
             'PASSED' AS verification_status, 1::BIGINT AS target_version FROM {name}"""
             for name in ("orders", "customer", "lineitem")
         ) + " UNION ALL SELECT 'absent', 0, 'FAILED', 'SKIPPED', 0",
+        "backup_side_by_side": " UNION ALL ".join(
+            f"""SELECT '{name}' AS "table", 1::BIGINT AS target_version, count(*) AS row_count,
+            'PASSED' AS verification_status FROM {name}"""
+            for name in ("orders", "customer", "lineitem", "part")
+        ),
+        "leftovers": " UNION ALL ".join(
+            f"""SELECT '{kind}' AS kind, 1::BIGINT AS folders, 0::BIGINT AS left_after,
+            count(*) AS row_count FROM orders"""
+            for kind in ("copy", "manifest", "restore")
+        ),
         "file_stats": """
             SELECT count(*) AS row_count, 'o_orderpriority' AS partitioned_by,
                    count(DISTINCT o_orderpriority) AS partitions, true AS has_files,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BINARY = "UTF8_BINARY"
 _LIMBS = 4
 _LIMB_BITS = 16
 _LIMB_MASK = (1 << _LIMB_BITS) - 1
@@ -33,11 +34,14 @@ def columns(df: DataFrame) -> list[Column]:
 def comparable(value: Column, dtype: T.DataType) -> Column:
     """A form of `value` that hashes and sorts by content.
 
-    Maps have no order, so they become entry arrays sorted by key, and variants become
-    JSON text. This is done at every nesting level and leaves other types alone.
+    Maps have no order, so they become entry arrays sorted by key, variants become JSON
+    text, and text with a collation, for which 'A' may equal 'a', becomes plain text. This
+    is done at every nesting level and leaves other types alone.
     """
-    if not holds(dtype, T.MapType, T.VariantType):
+    if not (holds(dtype, T.MapType, T.VariantType) or collated(dtype)):
         return value
+    if isinstance(dtype, T.StringType):
+        return F.collate(value, BINARY)
     if isinstance(dtype, T.MapType):
         entries = F.transform(
             F.map_entries(value),
@@ -55,6 +59,27 @@ def comparable(value: Column, dtype: T.DataType) -> Column:
     return F.to_json(value)  # VariantType
 
 
+def collated(dtype: T.DataType) -> bool:
+    """Whether a type is, or contains at any depth, text that is not compared byte by byte."""
+    if isinstance(dtype, T.StringType):
+        return dtype.collation != BINARY
+    if isinstance(dtype, T.ArrayType):
+        return collated(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return collated(dtype.keyType) or collated(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(collated(f.dataType) for f in dtype.fields)
+    return False
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, with underscores before it until no column is called so."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def holds(dtype: T.DataType, *kinds: type[T.DataType]) -> bool:
     """Whether a type is, or contains at any depth, one of `kinds`."""
     if isinstance(dtype, kinds):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,17 +15,32 @@ BYTES_PER_PARTITION = 128 << 20
 MOST_PARTITIONS = 50_000
 
 
+_LOCK = threading.Lock()
+# What each session had set, and what the blocks that run now need.
+_HELD: dict[SparkSession, tuple[str, list[int]]] = {}
+
+
 @contextmanager
 def shuffle_for(spark: SparkSession, size: int | None) -> Iterator[None]:
     """Run jobs that shuffle about `size` bytes of files with enough partitions.
 
     The session's own setting is the least; adaptive execution joins partitions that turn
-    out small.
+    out small. Blocks of several threads share a session: the largest need holds for all.
     """
-    before = spark.conf.get(SETTING)
     needed = min(-(-(size or 0) // BYTES_PER_PARTITION), MOST_PARTITIONS)
-    spark.conf.set(SETTING, str(max(int(before), needed)))
+
+    def hold(before: str, needs: list[int]) -> None:
+        spark.conf.set(SETTING, str(max(int(before), *needs)) if needs else before)
+
+    with _LOCK:
+        before, needs = _HELD.setdefault(spark, (spark.conf.get(SETTING), []))
+        needs.append(needed)
+        hold(before, needs)
     try:
         yield
     finally:
-        spark.conf.set(SETTING, before)
+        with _LOCK:
+            needs.remove(needed)
+            hold(before, needs)
+            if not needs:
+                del _HELD[spark]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from threading import get_ident
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import quoted
@@ -38,6 +41,7 @@ def run_backup(
     source: Source = table_in_catalog,
     as_of: AsOf | None = None,
     method: str = EXACT,
+    side_by_side: int = 1,
 ) -> DataFrame:
     """Back up every due table in priority order and return the run's log rows.
 
@@ -51,6 +55,10 @@ def run_backup(
     from the run. Tables that share an external address get folders of
     their catalog and schema below it. With a table's `fail_fast`, an error or a failed
     check ends the run with that error; without it, the run goes on. Both are logged.
+
+    With `side_by_side`, so many tables are worked on at once, begun in priority order. Small
+    tables then share the cluster, by turns if its scheduler is FAIR. A run that ends with an
+    error begins no other table, but finishes those it has begun.
     """
     if method not in (EXACT, FINGERPRINT, SAMPLE):
         raise ValueError(f"unknown verification method: {method}")
@@ -62,13 +70,42 @@ def run_backup(
         (r["backup_catalog"], r["backup_schema"]): vault.create_namespace(*r)
         for r in plan.select("backup_catalog", "backup_schema").distinct().collect()
     }
-    # One row per due table. Each row's copy and checks are Spark jobs of their own.
-    for row in due.toLocalIterator():
+
+    def back_up(row) -> None:
         namespace = namespaces[row["backup_catalog"], row["backup_schema"]]
         _back_up(vault, row, source, as_of, run_id, method, shared, namespace)
+
+    # One row per due table. Each row's copy and checks are Spark jobs of their own.
+    if side_by_side > 1:
+        _all_of(vault.spark, back_up, due.toLocalIterator(), side_by_side)
+    else:
+        for row in due.toLocalIterator():
+            back_up(row)
     return vault.audit().filter(F.col("run_id") == run_id)
 
 
+def _all_of(spark: SparkSession, work: Callable, rows: Iterator, at_once: int) -> None:
+    """Do `work` for all rows, some at once, up to the first error, which is raised."""
+
+    def pooled(row) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"backup-{get_ident()}")
+        work(row)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        running: set[Future] = set()
+        try:
+            for row in rows:
+                if len(running) == at_once:
+                    done, running = wait(running, return_when=FIRST_COMPLETED)
+                    for table in done:
+                        table.result()
+                running.add(pool.submit(inheritable_thread_target(spark)(pooled), row))
+        finally:
+            wait(running)
+        for table in running:
+            table.result()
+
+
 def registered_name(namespace: str, name: TableName) -> str:
     """The table in the backup schema by which SQL reads a table's newest passed backup.
 
@@ -234,15 +271,21 @@ def _log_failure(
     log.append_row(vault.spark, vault.audit_path, row)
 
 
-def cleanup(vault: Vault, plan: DataFrame, *, as_of: AsOf | None = None) -> int:
+def cleanup(
+    vault: Vault, plan: DataFrame, *, as_of: AsOf | None = None,
+    leftovers_after: float | None = None,
+) -> int:
     """Remove every expired version and finish interrupted removals; returns how many.
 
-    Logs of tables that have grown to many files are compacted.
+    Logs of tables that have grown to many files are compacted. With `leftovers_after`, what
+    killed or replaced work left behind more than so many hours ago goes too.
     """
     as_of = as_of or now()
     try:
         dropped = vault.drop_versions(expired(vault.audit(), plan, as_of), as_of)
         vault.compact_audit()
+        if leftovers_after is not None:
+            vault.remove_leftovers(leftovers_after, as_of)
         return dropped
     except Exception as error:
         logger.error("Clean-up failed: %s", error)

@@ -35,11 +35,13 @@ def describe(spark: SparkSession, table: str, on_error: str = "raise") -> DataFr
 
 def _description(spark: SparkSession, table: str) -> list[tuple[str, str, str]]:
     raw = _metadata(spark, table)
+    # Comments as the catalog has them: a relation may be cached from before they changed.
+    comments = {c["name"]: c.get("comment") for c in raw.get("columns", [])}
     rows = []
     for field in spark.table(table).schema.fields:
         rows.append(("column", field.name, field.dataType.simpleString()))
-        if field.metadata.get("comment"):
-            rows.append(("comment", field.name, field.metadata["comment"]))
+        if comments.get(field.name):
+            rows.append(("comment", field.name, comments[field.name]))
     for position, name in enumerate(raw.pop("partition_columns", [])):
         rows.append(("partition", str(position), name))
     for key, value in raw.pop("table_properties", {}).items():

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablevault.functions.columns import (
+    collated,
     column,
     columns,
     comparable,
+    free_name,
     holds,
     limb_sums,
     limb_total,
@@ -21,7 +23,15 @@ from tablevault.operators.rows import sample_rows, spread_sample, whole_row_orde
 MAX_BUCKETS = 1 << 20
 
 SIDE, COPIES = "_side", "_copies"
-_WEIGHT, _IN_SOURCE, _IN_TARGET = "__weight", "__in_source", "__in_target"
+
+
+def mark_names(names: list[str]) -> tuple[str, str]:
+    """What `diff_rows` calls its two marks: `_side` and `_copies`, unless a table has such columns."""
+    return free_name(SIDE, names), free_name(COPIES, names)
+
+
+def _count_names(names: list[str]) -> tuple[str, str]:
+    return free_name("__in_source", names), free_name("__in_target", names)
 
 
 def same_schema(source: DataFrame, target: DataFrame) -> bool:
@@ -48,21 +58,23 @@ def signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     a row that makes up much of a table costs one record per task.
     """
     _require_same_schema(source, target)
-    tagged = _groupable(source).withColumn(_WEIGHT, F.lit(1)).union(
-        _groupable(target).withColumn(_WEIGHT, F.lit(-1))
+    names = source.columns
+    weight, (in_source, in_target) = free_name("__weight", names), _count_names(names)
+    tagged = _groupable(source).withColumn(weight, F.lit(1)).union(
+        _groupable(target).withColumn(weight, F.lit(-1))
     )
     return tagged.groupBy(*columns(source)).agg(
-        F.count(F.when(F.col(_WEIGHT) > 0, 1)).alias(_IN_SOURCE),
-        F.count(F.when(F.col(_WEIGHT) < 0, 1)).alias(_IN_TARGET),
+        F.count(F.when(F.col(weight) > 0, 1)).alias(in_source),
+        F.count(F.when(F.col(weight) < 0, 1)).alias(in_target),
     )
 
 
 def _groupable(df: DataFrame) -> DataFrame:
-    """Spark cannot group by variants, so columns that hold them are compared as JSON text."""
+    """Columns as they are grouped: variants as JSON text, text with a collation as plain text."""
     return df.select(
         *[
             comparable(column(f.name), f.dataType).alias(f.name)
-            if holds(f.dataType, T.VariantType)
+            if holds(f.dataType, T.VariantType) or collated(f.dataType)
             else column(f.name)
             for f in df.schema.fields
         ]
@@ -73,16 +85,18 @@ def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows that the tables do not share, with multiset semantics.
 
     `_side` is 'missing' for rows the target lacks and 'extra' for rows only it has;
-    `_copies` says how many. The tables are equal exactly when the result is empty. Variants
-    show as JSON text.
+    `_copies` says how many; `mark_names` tells their names for tables with such columns.
+    The tables are equal exactly when the result is empty. Texts are compared byte by byte,
+    whatever their collation. Variants show as JSON text.
     """
-    net = F.col(_IN_SOURCE) - F.col(_IN_TARGET)
+    (side, copies), (in_source, in_target) = mark_names(source.columns), _count_names(source.columns)
+    net = F.col(in_source) - F.col(in_target)
     return (
         signed_counts(source, target)
-        .filter(F.col(_IN_SOURCE) != F.col(_IN_TARGET))
+        .filter(F.col(in_source) != F.col(in_target))
         .select(
-            F.when(net > 0, "missing").otherwise("extra").alias(SIDE),
-            F.abs(net).alias(COPIES),
+            F.when(net > 0, "missing").otherwise("extra").alias(side),
+            F.abs(net).alias(copies),
             *columns(source),
         )
     )
@@ -90,10 +104,11 @@ def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def diff_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: rows on each side, rows missing from the target, and extra rows in it."""
-    net = F.col(_IN_SOURCE) - F.col(_IN_TARGET)
+    in_source, in_target = _count_names(source.columns)
+    net = F.col(in_source) - F.col(in_target)
     return signed_counts(source, target).agg(
-        _total(F.col(_IN_SOURCE)).alias("source_rows"),
-        _total(F.col(_IN_TARGET)).alias("target_rows"),
+        _total(F.col(in_source)).alias("source_rows"),
+        _total(F.col(in_target)).alias("target_rows"),
         _total(F.greatest(net, F.lit(0))).alias("missing_rows"),
         _total(F.greatest(-net, F.lit(0))).alias("extra_rows"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablevault.functions.columns import column, limb_sums, limb_total, row_hash
+from tablevault.functions.columns import column, limb_sums, limb_total
 
 _SUM_TYPE = "decimal(38,6)"
 _SCALE = 1_000_000
@@ -34,7 +34,7 @@ def profile(df: DataFrame) -> DataFrame:
         metrics += parts
         checksum = F.lit(None).cast("decimal(38,0)")
         if isinstance(field.dataType, T.NumericType):
-            hashed = F.when(value.isNotNull(), row_hash(T.StructType([field])))
+            hashed = F.when(value.isNotNull(), F.xxhash64(value))
             metrics += limb_sums(hashed, f"h{i}")
             checksum = limb_total(f"h{i}")
         entries.append(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablevault.functions.columns import column, comparable, quoted, row_hash
+from tablevault.sources.scratch import scratch_path
 
 
 def positive_ids(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -61,38 +62,40 @@ def spread_sample(df: DataFrame, n: int) -> DataFrame:
     return df.where(row_hash(df.schema) <= last.scalar()).orderBy(*order).limit(n)
 
 
+# `monotonically_increasing_id` is a partition number and, below it, a row number of 33 bits.
+_ROW_BITS = 33
+
+
 def numbered(
-    df: DataFrame, rank: str, level: str, ordinal: str, *, ties: list[str] | None = None,
-    range_bits: int = 16,
+    df: DataFrame, rank: str, level: str, ordinal: str, *, ties: list[str] | None = None
 ) -> DataFrame:
     """Number rows from 1 by `level` descending, then `ordinal`, then `ties`.
 
-    A plain `row_number()` over the whole order would send every row to one task. Here rows
-    are numbered inside ranges of 2^`range_bits` ordinals of one level, and each range starts
-    after the rows counted before it, so a hot level is split like any other. Only the range
-    counts, one row per range, are summed in order. Ordinals should be distinct: rows that
-    share one also share a range.
+    A plain `row_number()` over the whole order would send every row to one task. Here Spark
+    deals rows out by ranges of the order, by splitters it samples, so hot levels, distinct
+    levels and sparse ordinals all make ranges of like size. The rows are written in order,
+    and each range starts behind the rows of those before it: the only thing that is summed
+    in one task is a count per range. Rows that are alike in the whole order share a range.
+    NULL levels are an error.
     """
-    top, bucket, rows, before = "__level", "__range", "__rows", "__before"
+    top, at, part, before = "__level", "__at", "__range", "__before"
     level_type = df.select(column(level)).schema[0].dataType
     missing = F.raise_error(F.lit(f"{level} must not be NULL")).cast(level_type)
-    ranged = df.withColumn(top, F.coalesce(column(level), missing)).withColumn(
-        bucket, F.shiftright(column(ordinal).cast("bigint"), range_bits)
-    )
-    earlier = Window.orderBy(F.col(top).desc(), F.col(bucket)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = (
-        ranged.groupBy(top, bucket)
-        .agg(F.count(F.lit(1)).alias(rows))
-        .select(top, bucket, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before))
-    )
-    inside = Window.partitionBy(top, bucket).orderBy(
-        column(ordinal), *[column(t) for t in ties or []]
-    )
+    order = [F.col(top).desc(), column(ordinal).asc(), *[column(t).asc() for t in ties or []]]
+    leveled = df.withColumn(top, F.coalesce(column(level), missing))
+    placed = leveled.repartitionByRange(*order).sortWithinPartitions(*order).drop(top)
+    placed = placed.withColumn(at, F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "numbered")
+    placed.write.parquet(path)
+    # Ranges are dealt out by samples, so the rows that were counted must be the rows numbered.
+    placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    placed = placed.withColumn(part, F.shiftright(at, _ROW_BITS))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+    starts = starts.select(part, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(before))
+    inside = F.col(at).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        ranged.withColumn(rank, F.row_number().over(inside).cast("bigint"))
-        .join(starts, [top, bucket])
-        .withColumn(rank, column(rank) + F.col(before))
-        .drop(top, bucket, before)
+        placed.join(starts, part)
+        .withColumn(rank, F.col(before) + inside + 1)
+        .select(*[column(c) for c in df.columns if c != rank], column(rank))
     )

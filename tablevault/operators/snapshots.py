@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, replace
 from urllib.parse import quote
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -396,7 +397,8 @@ class Vault:
 
         Partition columns, column comments, the table comment and its properties come back
         with the rows. The rows go to `location`, by default a fresh folder of the table's
-        schema, and are verified there before the table is pointed at them.
+        schema, and are verified there before the table is pointed at them. What a managed
+        table held before stays for queries that read it, and is one of the `leftovers`.
         """
         started = time.monotonic()
         found = self.snapshot(name, version, as_of)
@@ -407,10 +409,129 @@ class Vault:
             home = self.spark.catalog.getDatabase(schema or self.spark.catalog.currentDatabase())
             location = f"{home.locationUri.rstrip('/')}/{last.strip('`')}-{uuid4().hex}"
         self._write_verified(found, location, checks)
-        self._create_table(table, replace(found, path=location))
-        self._log_restore(found, table, when, started)
+        replaced = self._publish_table(table, replace(found, path=location))
+        self._log_restore(found, table, when, started, replaced)
         return found
 
+    def _publish_table(self, table: str, data: Snapshot) -> str | None:
+        """Make `table` read a snapshot's files; returns the place of data it owned before.
+
+        A Parquet table of the same columns and without partitions is pointed at the files in
+        one step, so there is no moment without it, and queries that have begun read on.
+        Other tables are defined anew and take the name.
+        """
+        if not self.spark.catalog.tableExists(table):
+            self._create_table(table, data)
+            return None
+        details, now_there = self._details(table), self.spark.table(table).schema
+        shape = [(f.name, f.dataType, f.nullable) for f in data.schema.fields]
+        same = [(f.name, f.dataType, f.nullable) for f in now_there.fields] == shape
+        plain = not data.partition_by and not partition_columns(self.spark, table)
+        if not (same and plain and (details.get("provider") or "").lower() == "parquet"):
+            self._create_table(table, data)
+            return None
+        self.spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(data.path)}")
+        self.spark.catalog.refreshTable(table)
+        self._describe_as(table, data)
+        managed = (details.get("type") or "").upper() == "MANAGED"
+        return details.get("location") if managed else None
+
+    def _describe_as(self, table: str, data: Snapshot) -> None:
+        """Give `table` the comments and properties of a snapshot's source."""
+        before = describe(self.spark, table).collect()
+        about = data.source_properties or []
+
+        def of(rows, section: str) -> dict[str, str]:
+            return {r["key"]: r["value"] for r in rows if r["section"] == section}
+
+        wanted, there = of(about, "property"), of(before, "property")
+        gone = [_literal(key) for key in there if key not in wanted]
+        if gone:
+            self.spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({', '.join(gone)})")
+        if wanted:
+            pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in wanted.items())
+            self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+        comment = of(about, "detail").get("comment")
+        if comment != of(before, "detail").get("comment"):
+            self.spark.sql(f"COMMENT ON TABLE {table} IS {_literal(comment) if comment else 'NULL'}")
+        noted = of(before, "comment")
+        for field in data.schema.fields:
+            note = field.metadata.get("comment", "")
+            if note != noted.get(field.name, ""):
+                self.spark.sql(
+                    f"ALTER TABLE {table} ALTER COLUMN {quoted(field.name)} COMMENT {_literal(note)}"
+                )
+
+    def leftovers(self, hours: float = 24, as_of: AsOf | None = None) -> DataFrame:
+        """Folders that killed or replaced work has left behind: (path, kind, modified).
+
+        'copy' and 'manifest': versions that no row of the log names, or that were deleted.
+        'restore': what a restore had written, or moved aside, beside a target that exists.
+        'replaced': data of a managed table that a restore has pointed elsewhere. Only what
+        was last changed more than `hours` ago, so work that is going on is left alone. The
+        folders of versions and targets are listed, never files.
+        """
+        audit = self.audit()
+        plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        backups = audit.where((F.col("operation") == log.BACKUP) & F.col("storage_location").isNotNull())
+        places = backups.select(F.regexp_replace("storage_location", "/v=[0-9]+$", "").alias("place"))
+        inside = [(self.root, "/*" * depth + "/v=*") for depth in (3, 5)]
+        outside = [
+            (r["place"], "/v=*") for r in places.distinct().toLocalIterator()
+            if not f"{r['place']}/".startswith(f"{self.root}/")
+        ]
+        found = [(*f, "copy") for at in inside + outside for f in filesystem.matching(self.spark, *at)]
+        manifests = f"{self.root}/_manifests"
+        found += [(*f, "manifest") for f in filesystem.matching(self.spark, manifests, "/*/*/*/v=*")]
+        restored = audit.where(F.col("operation") == log.RESTORE)
+        replaced = F.get_json_object("target_table_properties", "$.replaced").alias("replaced")
+        for row in restored.select("storage_location", replaced).distinct().toLocalIterator():
+            target, before = row["storage_location"], row["replaced"]
+            if "/" in target and filesystem.exists(self.spark, target):
+                for kind in (".restored-*", ".replaced-*"):
+                    beside = filesystem.matching(self.spark, target, kind)
+                    found += [(*f, "restore") for f in beside]
+            if before and before != self._location_of(target):
+                found += [(*f, "replaced") for f in filesystem.matching(self.spark, before, "")]
+        listed = self.spark.createDataFrame(found, "path string, millis bigint, kind string").distinct()
+        known = log.kept(audit).select(
+            F.regexp_replace("storage_location", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "").alias("known"),
+            F.get_json_object("deep_clone_metadata", "$.manifest_path").alias("manifest"),
+        )
+        known = known.select(
+            F.explode(
+                F.array("known", F.regexp_replace("manifest", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
+            ).alias("known")
+        )
+        modified = F.timestamp_millis("millis")
+        age = F.make_dt_interval(secs=F.lit(float(hours) * 3600))
+        old = modified < instant(as_of or now()) - age
+        return (
+            listed.where(old)
+            .withColumn("plain", plain)
+            .join(known, (F.col("plain") == F.col("known")) & F.col("kind").isin("copy", "manifest"), "left_anti")
+            .select("path", "kind", modified.alias("modified"))
+        )
+
+    def remove_leftovers(self, hours: float = 24, as_of: AsOf | None = None) -> int:
+        """Delete the folders that `leftovers` lists; returns how many."""
+        paths = [r["path"] for r in self.leftovers(hours, as_of).collect()]  # names of folders
+        for path in paths:
+            logger.info("Removing what was left at %s", path)
+            filesystem.delete(self.spark, path)
+        return len(paths)
+
+    def _location_of(self, table: str) -> str | None:
+        """Where a catalog table's data lies; None if there is no such table."""
+        try:
+            return self._details(table).get("location")
+        except AnalysisException:
+            return None
+
+    def _details(self, table: str) -> dict[str, str]:
+        rows = describe(self.spark, table).collect()
+        return {r["key"]: r["value"] for r in rows if r["section"] == "detail"}
+
     def damage(
         self, name: TableName, version: int | None = None, as_of: AsOf | None = None, *,
         content: bool = True,
@@ -550,7 +671,8 @@ class Vault:
             self.spark.catalog.recoverPartitions(table)
 
     def _log_restore(
-        self, found: Snapshot, target: str, when: AsOf | None, started: float
+        self, found: Snapshot, target: str, when: AsOf | None, started: float,
+        replaced: str | None = None,
     ) -> None:
         row = {
             "run_id": uuid4().hex,
@@ -563,6 +685,7 @@ class Vault:
             "duration_seconds": int(time.monotonic() - started),
             "verification_status": log.PASSED,
             "storage_location": target,
+            "target_table_properties": _json({"replaced": replaced} if replaced else None),
         }
         log.append_row(self.spark, self.audit_path, row)
 
@@ -575,10 +698,7 @@ class Vault:
         found = self.snapshot(name, version)
         if self.spark.catalog.tableExists(table):
             own = {self._plain(r[0]) for r in self._versions_of(name).collect()}
-            about = {
-                row["key"]: row["value"] for row in describe(self.spark, table).collect()
-                if row["section"] == "detail"
-            }
+            about = self._details(table)
             if (about.get("type") or "").upper() != "EXTERNAL" or (
                 self._plain(about.get("location") or "") not in own
             ):

@@ -5,10 +5,18 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.operators.diff import FIRST, diff_counts, fingerprint, same_schema, sample_diff
+from tablevault.functions.columns import column
+from tablevault.operators.diff import (
+    FIRST,
+    diff_counts,
+    fingerprint,
+    mark_names,
+    same_schema,
+    sample_diff,
+)
 from tablevault.operators.profile import profile_diff
 
 logger = logging.getLogger(__name__)
@@ -66,12 +74,13 @@ def _counts(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _sample_counts(source: DataFrame, target: DataFrame, checks: Checks) -> DataFrame:
-    copies = F.coalesce(F.col("_copies"), F.lit(0))
+    side, copies = map(column, mark_names(source.columns))
+
+    def of(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(side == kind, copies)), F.lit(0))
+
     return sample_diff(source, target, checks.sample_size, checks.sample_method).agg(
-        F.coalesce(F.sum(F.when(F.col("_side") == "missing", copies)), F.lit(0)).alias(
-            "missing_rows"
-        ),
-        F.coalesce(F.sum(F.when(F.col("_side") == "extra", copies)), F.lit(0)).alias("extra_rows"),
+        of("missing").alias("missing_rows"), of("extra").alias("extra_rows")
     )
 
 

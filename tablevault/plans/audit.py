@@ -234,6 +234,13 @@ def discarded(audit: DataFrame) -> DataFrame:
     )
 
 
+def kept(audit: DataFrame) -> DataFrame:
+    """The backup row of every version, good or failed, whose files are not known to be gone."""
+    gone = _operations(audit, DROP).select(*VERSION_KEY)
+    copies = audit.filter((F.col("operation") == BACKUP) & F.col("storage_location").isNotNull())
+    return copies.join(gone, VERSION_KEY, "left_anti")
+
+
 def undeleted(audit: DataFrame) -> DataFrame:
     """Expired versions whose files are not known to be gone, as after an interrupted cleanup."""
     dropped = _operations(audit, DROP).select(*VERSION_KEY)

@@ -14,11 +14,12 @@ _NAME = TableName("path", "default", "data")
 
 
 def has_delta(spark: SparkSession) -> bool:
-    """Whether the session can read Delta tables."""
+    """Whether the session can read Delta tables: a data source of that name is installed."""
+    sources = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
     try:
-        spark.read.format("delta").load("/")
-    except Exception as error:
-        return "DATA_SOURCE_NOT_FOUND" not in str(error)
+        sources.lookupDataSource("delta", spark._jsparkSession.sessionState().conf())
+    except Exception:
+        return False
     return True
 
 

@@ -260,3 +260,43 @@ def test_an_address_without_account_is_an_error(vault, plan, source):
     )
     row = log.first()
     assert row.status == "FAILED" and "lacks an account" in row.error_message
+
+
+def test_tables_side_by_side(vault, plan, source, spark):
+    tables = plan({f"t{i}": {"priority": i} for i in range(9)})
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    log = run_backup(vault, tables, source=source, as_of=DAY, side_by_side=4)
+    assert outcomes(log) == {f"t{i}": ("SUCCESS", "PASSED") for i in range(9)}
+    assert all(vault.read(TableName("shop", "sales", f"t{i}")).count() == 3 for i in range(9))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert run_backup(vault, tables, source=source, as_of=DAY, side_by_side=4).count() == 0
+
+
+def test_tables_side_by_side_begin_in_order(vault, plan, source):
+    begun = []
+
+    def noting(name):
+        begun.append(name.table)
+        return source(name)
+
+    run_backup(vault, plan({f"t{i}": {"priority": i} for i in range(6)}), source=noting, side_by_side=2)
+    places = {t: i for i, t in enumerate(begun)}
+    assert all(abs(places[f"t{i}"] - (5 - i)) <= 2 for i in range(6))
+
+
+def test_an_error_side_by_side_begins_no_other(vault, plan, source):
+    tables = plan({"a": {"priority": 9}, **{f"t{i}": {"priority": i} for i in range(6)}})
+    with pytest.raises(LookupError, match="no such table"):
+        run_backup(vault, tables, source=missing_for("a")(source), as_of=DAY, side_by_side=2)
+    seen = outcomes(vault.audit())
+    assert seen.pop("a") == ("FAILED", "SKIPPED")
+    assert "t5" in seen and "t0" not in seen
+    assert set(seen.values()) == {("SUCCESS", "PASSED")}
+
+
+def test_an_error_alone_side_by_side(vault, plan, source):
+    tables = {"a": {"priority": 9, "error_handling": {"fail_fast": False}}, "b": {}, "c": {}}
+    log = run_backup(vault, plan(tables), source=missing_for("a")(source), as_of=DAY, side_by_side=3)
+    assert outcomes(log) == {
+        "a": ("FAILED", "SKIPPED"), "b": ("SUCCESS", "PASSED"), "c": ("SUCCESS", "PASSED"),
+    }

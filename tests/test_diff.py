@@ -3,8 +3,18 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-
-from tablevault import diff_rows, diff_rows_in_suspect_buckets, fingerprint, sample_diff
+from pyspark.sql import functions as F
+
+from tablevault import (
+    Checks,
+    diff_rows,
+    diff_rows_in_suspect_buckets,
+    fingerprint,
+    sample_diff,
+    verify,
+    verify_clone,
+)
+from tablevault.operators.diff import same_schema
 from tablevault.operators.diff import diff_counts, same_schema
 
 ROWS = st.lists(
@@ -138,3 +148,31 @@ def test_spread_sample_sees_what_the_first_rows_hide(spark):
     assert sample_diff(a, a.repartition(3), 100, "spread").count() == 0
     with pytest.raises(ValueError, match="unknown sample method"):
         sample_diff(a, b, 100, "other")
+
+
+def test_collated_text_is_compared_byte_by_byte(spark):
+    a = spark.sql(
+        """SELECT collate('A', 'UTF8_LCASE') t, array(named_struct('x', collate('B', 'UNICODE_CI'))) n,
+        map(collate('K', 'UTF8_LCASE'), 1) m"""
+    )
+    for other in ("'a' t", "array(named_struct('x', 'b')) n", "map('k', 1) m"):
+        name = other.split()[-1]
+        low = spark.sql(f"SELECT {other}").select(F.col(name).cast(a.schema[name].dataType))
+        b = a.select(*[F.col(c) for c in a.columns if c != name]).crossJoin(low).select(a.columns)
+        assert same_schema(a, b)
+        assert diff_rows(a, b).count() == 2 and diff_rows(a, a.select("*")).count() == 0
+        assert fingerprint(a).first() != fingerprint(b).first()
+        assert not verify_clone(a, b)
+        assert not verify_clone(a, b, Checks(full_diff=False))
+
+
+def test_tables_with_columns_named_like_the_marks(spark):
+    names = "_side string, _copies int, __weight int, __in_source int, __IN_target int"
+    a = spark.createDataFrame([("missing", 7, 1, 2, 3), ("x", 1, 1, 1, 1)], names)
+    b = a.where("_copies = 1")
+    assert diff_rows(a, b).columns == ["__side", "__copies", *a.columns]
+    assert tuple(diff_rows(a, b).first())[:3] == ("missing", 1, "missing")
+    for checks in (Checks(), Checks(full_diff=False), Checks(full_diff=False, sample_method="spread")):
+        assert verify_clone(a, a.select("*"), checks) and not verify_clone(a, b, checks)
+        assert verify(a, b, checks).first().missing_rows == 1
+    assert diff_rows_in_suspect_buckets(a, b).count() == 1

@@ -221,3 +221,40 @@ def test_files_without_text_are_split(spark, tmp_path):
         assert rows.agg(F.sum("twice")).first()[0] == 2 * sum(range(40_000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.fixture
+def no_names(monkeypatch, spark):
+    """Fail where the names of files are asked for."""
+    def fail(*_):
+        raise AssertionError("the names of files came to the driver")
+
+    return lambda: monkeypatch.setattr(filesystem, "_names", fail)
+
+
+def test_overlap_is_told_without_the_names_of_files(spark, tmp_path, no_names):
+    source, other = str(tmp_path / "a b" / "many"), str(tmp_path / "other")
+    spark.range(3000).repartition(300).write.parquet(source)
+    rows = spark.read.parquet(source).where("id > 1").join(spark.range(9), "id")
+    no_names()
+    assert filesystem.reads_under(rows, source) and filesystem.reads_under(rows, str(tmp_path))
+    assert filesystem.reads_under(rows, source + "/")
+    assert not filesystem.reads_under(rows, other)
+    assert not filesystem.reads_under(rows, source + "x")
+    write_files(rows, other)
+    with pytest.raises(AssertionError, match="names of files"):
+        filesystem.reads_under(rows, f"{source}/part")
+
+
+def test_overlap_inside_of_what_is_read(spark, tmp_path):
+    path = tmp_path / "table"
+    spark.range(20).selectExpr("id", "id % 3 AS p").write.partitionBy("p").parquet(str(path))
+    rows = spark.read.parquet(str(path))
+    assert filesystem.reads_under(rows, str(path / "p=1"))
+    assert not filesystem.reads_under(rows, str(path / "p=7"))
+    assert filesystem.reads_under(spark.read.parquet(str(path / "p=1")), str(path))
+    spark.range(3).createOrReplaceTempView("memory_alone")
+    assert not filesystem.reads_under(spark.table("memory_alone"), str(path))
+    cached = rows.cache()
+    assert filesystem.reads_under(cached.where("id > 1"), str(path))
+    cached.unpersist()

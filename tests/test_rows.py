@@ -68,7 +68,7 @@ def test_numbering_agrees_with_a_global_sort(spark, seed):
         for i in range(600)
     ]
     df = spark.createDataFrame(rows, "priority int, ordinal bigint, name string").repartition(5)
-    got = numbered(df, "rank", "priority", "ordinal", ties=["name"], range_bits=4)
+    got = numbered(df, "rank", "priority", "ordinal", ties=["name"])
     whole = Window.orderBy(F.desc("priority"), "ordinal", "name")
     want = df.withColumn("rank", F.row_number().over(whole).cast("bigint"))
     assert sorted(got.select("name", "rank").collect()) == sorted(
@@ -120,3 +120,22 @@ def test_equal_rows_have_equal_fingerprints_and_nulls_count(spark):
     moved = ", ".join(f"{'NULL' if i == 65 else i} AS c{i}" for i in range(70))
     assert seen(f"SELECT {wide}") == seen(f"SELECT {wide}") != seen(f"SELECT {moved}")
     assert seen("SELECT int(NULL) a, 1 b") != seen("SELECT 1 a, int(NULL) b")
+
+
+@pytest.mark.parametrize("level", ["id", "0L", "id % 3", "pmod(id, 2) * 1000000007"])
+@pytest.mark.parametrize("ordinal", ["id", "id * 1000003", "0L"])
+def test_numbering_of_any_shape(spark, level, ordinal):
+    """Distinct levels, one level, sparse ordinals, and no ordinal at all."""
+    df = spark.range(3000).selectExpr("id", f"{level} AS level", f"{ordinal} AS ordinal").repartition(6)
+    got = numbered(df, "rank", "level", "ordinal", ties=["id"]).collect()
+    rows = sorted(df.collect(), key=lambda r: (-r.level, r.ordinal, r.id))
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == [r.id for r in rows]
+    assert sorted(r["rank"] for r in got) == list(range(1, 3001))
+
+
+def test_numbering_sums_counts_of_ranges_alone(spark):
+    df = spark.range(10_000).selectExpr("id AS level", "id AS ordinal")
+    plan = numbered(df, "rank", "level", "ordinal")._jdf.queryExecution().executedPlan().toString()
+    single = plan.split("Exchange SinglePartition")[1:]
+    assert single and all("HashAggregate" in below.splitlines()[1] for below in single)
+    assert numbered(df.limit(0), "rank", "level", "ordinal").collect() == []

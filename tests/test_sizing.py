@@ -14,3 +14,12 @@ def test_partitions_follow_size_and_go_back(spark, size, partitions):
     with pytest.raises(KeyError), shuffle_for(spark, size):
         raise KeyError
     assert spark.conf.get(SETTING) == "2"
+
+
+def test_threads_share_the_largest_need(spark):
+    before = spark.conf.get(SETTING)
+    with shuffle_for(spark, 40 * BYTES_PER_PARTITION):
+        with shuffle_for(spark, 70 * BYTES_PER_PARTITION):
+            assert spark.conf.get(SETTING) == "70"
+        assert spark.conf.get(SETTING) == "40"
+    assert spark.conf.get(SETTING) == before
