@@ -300,15 +300,17 @@ def load_plan_catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("c_name", settings)))).alias("tables")
     )
     schemas = F.create_map(F.lit("main"), F.struct("tables"))
+
+    def by_name(a: Column, b: Column) -> Column:
+        return F.when(a["c_mktsegment"] < b["c_mktsegment"], -1).otherwise(1)
+
     catalogs = F.array_agg(F.struct("c_mktsegment", F.struct(schemas.alias("schemas"))))
     documents = tables.groupBy("c_nationkey").agg(catalogs.alias("catalogs")).select(
         (F.col("c_nationkey") * 1_000_000).alias("first"),
         F.to_json(
             F.struct(
                 F.lit("backup").alias("backup_catalog"), F.lit("dr").alias("backup_schema"),
-                F.map_from_entries(
-                    F.array_sort("catalogs", lambda a, b: F.when(a[0] < b[0], -1).otherwise(1))
-                ).alias("catalogs"),
+                F.map_from_entries(F.array_sort("catalogs", by_name)).alias("catalogs"),
             )
         ).alias("document"),
     )
