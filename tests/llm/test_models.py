@@ -107,6 +107,22 @@ def test_tokens_as_the_reference_library(spark, documents):
         assert bytes(got[doc]["decoded"]) == (text or "").encode()
 
 
+def test_words_that_are_tokens_and_words_of_any_length(documents):
+    import tiktoken
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"xyz": 256, b"ab": 257, b"ba": 258, b"abab": 259}
+    reference = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+    texts = ["xyz xyza", "ab" * 700 + "a xyz", "ba" * 100_000, "", "aba " * 9, "é" * 600]
+    rows = list(enumerate(texts))
+    for frequent in (0, 2):
+        found = bpe.encode(
+            documents(*rows).coalesce(1), bpe.Vocabulary.of(ranks), r"\S+", most_frequent=frequent
+        )
+        got = {r["doc_id"]: r["ids"] for r in found.collect()}
+        for doc, text in rows:
+            assert got[doc] == reference.encode_ordinary(text), text[:20]
+
+
 def test_decoding_of_odd_lists(spark):
     vocabulary = bpe.Vocabulary.of({bytes([b]): b for b in range(256)} | {b"ab": 256})
     rows = spark.createDataFrame([([97, 256],), ([],), (None,), ([9999],)], "ids array<int>")
