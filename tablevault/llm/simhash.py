@@ -9,11 +9,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import column
-from tablevault.llm.common import python_tasks, stored, text_or_empty
+from tablevault.llm.common import python_tasks, release, stored, text_or_empty
 from tablevault.llm.components import components
 
 SHINGLE = 4
@@ -122,6 +122,19 @@ def _apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _gridded(points: DataFrame, distance: int, groups: int) -> DataFrame:
+    """`points` (fp, ...), once for each `cell` of the grid that a point is in."""
+    cells = F.array(
+        *[
+            F.xxhash64(F.lit(i), embedded(F.col("fp")).bitwiseAND(F.lit(mask)))
+            for i, mask in enumerate(_axes(groups, distance))
+        ]
+    )
+    # Points are few bytes but many cells, so they are spread over all tasks before.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return points.repartition(tasks).select("*", F.explode(cells).alias("cell"))
+
+
 def classes(points: DataFrame, distance: int = DISTANCE, groups: int = GROUPS) -> DataFrame:
     """(fp, class) for the distinct fingerprints in `points`: components of close ones.
 
@@ -129,47 +142,37 @@ def classes(points: DataFrame, distance: int = DISTANCE, groups: int = GROUPS) -
     `embedded` are then at most as far apart, and share a cell of the grid. The join runs in
     two steps, since a cell may hold a great many near copies:
 
-    1. Each point is compared with its cell's least point. That is one row per point and
-       cell, and joins most copies into components.
-    2. Points of one cell are compared with each other only if they are in different
-       components, first by Manhattan distance, then by all bits.
+    1. Each point is compared with its cell's least point, in one pass over sorted cells. That
+       joins most copies into components. Points that are alone in all their cells are done.
+    2. The others are filed once more, with their component. Points of one cell are compared
+       with each other only if they are in different components, first by Manhattan distance,
+       then by all bits. Cells of one component, as those of copies, end before the join.
 
     Points that step 1 joined need no further link, so no link between components is lost.
     """
     points = stored(points.select("fp").distinct(), "fp")
-    cells = F.explode(
-        F.array(
-            *[
-                F.xxhash64(F.lit(i), embedded(F.col("fp")).bitwiseAND(F.lit(mask)))
-                for i, mask in enumerate(_axes(groups, distance))
-            ]
-        )
-    )
-    # Points are few bytes but many cells, so they are spread over all tasks before.
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gridded = points.repartition(tasks).select("fp", cells.alias("cell"))
-    several = gridded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(gridded.join(several.select("cell"), "cell", "left_semi"), "cells")
-    hubs = shared.groupBy("cell").agg(F.min("fp").alias("hub"))
-    first = shared.join(hubs, "cell").where(
-        (F.col("fp") != F.col("hub")) & (_apart("fp", "hub") <= distance)
+    in_cell = Window.partitionBy("cell")
+    # In a cell of several points, each is beside the least or is itself the least of more.
+    hubs = _gridded(points, distance, groups).select(
+        "fp", F.min("fp").over(in_cell).alias("hub"), F.max("fp").over(in_cell).alias("most")
     )
+    shared = stored(hubs.where("hub < most").select("fp", "hub"), "cells")
+    release(points.sparkSession)
+    first = shared.where((F.col("fp") != F.col("hub")) & (_apart("fp", "hub") <= distance))
     joined = components(first.select(F.col("fp").alias("u"), F.col("hub").alias("v")))
     joined = stored(joined, "joined")
 
-    members = shared.join(joined, shared["fp"] == joined["node"], "left").select(
-        "cell",
-        "fp",
-        embedded(F.col("fp")).alias("point"),
-        F.coalesce("component", "fp").alias("part"),
-    )
-    mixed = (
-        members.groupBy("cell")
-        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
-        .where("least < most")
-        .select("cell")
+    near = shared.select("fp").distinct()
+    parts = near.join(joined, near["fp"] == joined["node"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("part")
     )
-    open_ = stored(members.join(mixed, "cell", "left_semi"), "open")
+    members = _gridded(stored(parts, "parts"), distance, groups)
+    mixed = members.select(
+        "*", F.min("part").over(in_cell).alias("least"), F.max("part").over(in_cell).alias("most")
+    ).where("least < most")
+    point = embedded(F.col("fp")).alias("point")
+    open_ = stored(mixed.select("cell", "fp", point, "part"), "open")
+    release(points.sparkSession)
     a = open_.select("cell", *[F.col(c).alias(f"{c}_a") for c in ("fp", "point", "part")])
     b = open_.select("cell", *[F.col(c).alias(f"{c}_b") for c in ("fp", "point", "part")])
     # The lower bound is a bit count of two columns that are there already, and so cheap.
@@ -208,6 +211,7 @@ def near_duplicates(
     """
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     found = stored(classes(rows, distance, groups), "classes")
+    release(docs.sparkSession)
     # Ids go down to one row per fingerprint before they meet the classes.
     least = rows.groupBy("fp").agg(F.min("id").alias("least"))
     named = found.join(least, "fp")

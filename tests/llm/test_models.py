@@ -55,6 +55,25 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    from tablevault.llm import components as module
+
+    monkeypatch.setattr(module, "_small_star", None)
+    links = spark.createDataFrame([(1, 5), (6, 1), (2, 9), (9, 2)], "u long, v long")
+    assert dict(components(links).collect()) == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2}
+
+
+def test_rows_that_copies_take_end_before_the_joins(spark, monkeypatch):
+    from tablevault.llm import simhash
+
+    found, kept = {}, simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, label: found.setdefault(label, kept(df, label)))
+    copies = [(1 << 40) ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)]
+    far = [0x5A5A5A5A5A5A5A50 ^ 3, 0x5A5A5A5A5A5A5A50 ^ 12]  # linked with each other alone
+    points = spark.createDataFrame([(fp,) for fp in copies + far], "fp long")
+    got = dict(simhash.classes(points).collect())
+    assert {got[fp] for fp in copies} == {min(copies)} and {got[fp] for fp in far} == {min(far)}
+    assert "hub" in found["cells"].columns and found["open"].isEmpty()
 
 
 def test_languages(spark):
