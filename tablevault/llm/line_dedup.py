@@ -29,6 +29,14 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _lines_at(text: Column, at: Column) -> Column:
+    """A text's lines at some places; the text is split once, not for each of them."""
+    held = F.transform(
+        F.array(lines_of(text)), lambda lines: F.transform(at, lambda i: F.get(lines, i))
+    )
+    return held[0]
+
+
 def _spaced(line: Column) -> Column:
     """A line's tokens with one space between them; most lines are so already."""
     return F.trim(F.regexp_replace(line, _WIDE, " "))
@@ -45,16 +53,16 @@ def _masked(spaced: Column) -> Column:
 
 def _tokens(spaced: Column) -> Column:
     """The number of tokens."""
-    gaps = F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+    gaps = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit("")))
     return F.when(spaced == "", 0).otherwise(gaps + 1)
 
 
-def _words(spaced: Column) -> Column:
-    """The number of tokens that are no wildcard."""
+def _words(spaced: Column, tokens: Column) -> Column:
+    """How many of the tokens, whose number is known, are no wildcard."""
     apart = F.concat(F.lit(" "), F.replace(spaced, F.lit(" "), F.lit("  ")), F.lit(" "))
     other = F.replace(apart, F.lit(f" {WILDCARD} "), F.lit(""))
-    wild = (F.length(apart) - F.length(other)) / (len(WILDCARD) + 2)
-    return _tokens(spaced) - F.when(spaced.contains(WILDCARD), wild).otherwise(0)
+    wild = (F.octet_length(apart) - F.octet_length(other)) / (len(WILDCARD) + 2)
+    return tokens - F.when(spaced.contains(WILDCARD), wild).otherwise(0)
 
 
 def _leaf(tokens: Column, leading: Column) -> Column:
@@ -73,7 +81,7 @@ def _described(lines: DataFrame, least_tokens: int, short_lines: bool) -> DataFr
     spaced = lines.withColumn("spaced", _spaced(F.col("line")))
     counted = spaced.withColumns(
         {"general": _masked(F.col("spaced")), "tokens": _tokens(F.col("spaced"))}
-    ).withColumn("enough", _words(F.col("general")) >= least_tokens)
+    ).withColumn("enough", _words(F.col("general"), F.col("tokens")) >= least_tokens)
     enough, some = F.col("enough"), F.col("tokens") > 0
     long = (F.col("tokens") >= LONG_TOKENS) | (F.char_length("line") >= LONG_CHARS)
     leaf = F.when(enough, _leaf(F.col("tokens"), F.col("general")))
@@ -95,18 +103,31 @@ def _described(lines: DataFrame, least_tokens: int, short_lines: bool) -> DataFr
     return found.select(*kept, F.inline(entry)).where("leaf IS NOT NULL")
 
 
-def _general_lines(lines: DataFrame, least_tokens: int) -> DataFrame:
-    """(leaf, spaced) of the lines (line) that may be generalised.
+def _general_lines(
+    docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame
+) -> DataFrame:
+    """(leaf, masked, tokens) of the lines of `docs` at the places `wanted` (doc, content, at).
 
-    The leaf takes no more than the leading tokens to be masked, so lines of leaves that are
-    of no interest can be left out before the rest is.
+    Only documents that hold a wanted line are split, and only such lines are masked.
     """
-    # A generator keeps later filters from repeating what is below it.
-    spaced = lines.select(F.explode(F.array(_spaced(F.col("line")))).alias("spaced"))
-    enough = _tokens(F.col("spaced")) >= least_tokens
-    leading = _masked(F.substring_index("spaced", " ", DEPTH))
-    return spaced.where(enough).select(
-        _leaf(_tokens(F.col("spaced")), leading).alias("leaf"), "spaced"
+    text = text_or_empty(text_col)
+    rows = docs.select(
+        column(id_col).alias("doc"), F.xxhash64(text).alias("content"), text.alias("text")
+    )
+    # Each document meets one row, which lists its places, so nothing is sorted.
+    listed = wanted.groupBy(F.col("doc").alias("of"), F.col("content").alias("held")).agg(
+        F.collect_set("at").alias("places")
+    )
+    same = F.col("doc").eqNullSafe(F.col("of")) & (F.col("content") == F.col("held"))
+    lines = rows.join(listed.hint("shuffle_hash"), same).select(
+        F.explode(_lines_at(F.col("text"), F.col("places"))).alias("line")
+    )
+    # A generator keeps the masking from being repeated in what reads it.
+    general = lines.select(F.explode(F.array(_masked(_spaced(F.col("line"))))).alias("general"))
+    return general.distinct().select(
+        _leaf(_tokens(F.col("general")), F.col("general")).alias("leaf"),
+        F.xxhash64("general").alias("masked"),
+        F.split("general", " ").alias("tokens"),
     )
 
 
@@ -143,14 +164,13 @@ def line_places(
     return _described(rows, least_tokens, short_lines)
 
 
-def _agreeing(groups: DataFrame, totals: DataFrame, similarity: float) -> DataFrame:
+def _agreeing(groups: DataFrame, similarity: float) -> DataFrame:
     """(leaf, masked, template) of the lines that agree with the constants of their group."""
-    held = groups.select("group", "docs", F.posexplode("tokens").alias("at", "token"))
+    held = groups.select("group", "docs", "total", F.posexplode("tokens").alias("at", "token"))
     # Of two tokens that each hold half of the lines, the greater is the constant.
     constants = (
         held.groupBy("group", "at", "token")
-        .agg(F.sum("docs").alias("docs"))
-        .join(totals, "group")
+        .agg(F.sum("docs").alias("docs"), F.max("total").alias("total"))
         .where(2 * F.col("docs") >= F.col("total"))
         .groupBy("group", "at")
         .agg(F.max("token").alias("token"))
@@ -170,14 +190,15 @@ def _agreeing(groups: DataFrame, totals: DataFrame, similarity: float) -> DataFr
 def _resplit(groups: DataFrame, agreeing: DataFrame, least_documents: int) -> DataFrame:
     """The lines that do not agree, in finer groups that may yet hold a template.
 
+    Each row has its group's `total` of documents and number `n` of lines.
     Each line goes with the most frequent (place, token) it has that some other line of the
     group has not. Lines without a token that `least_documents` lines share stay together if
     others left their group, and are done otherwise, so every round makes groups smaller.
     """
-    rest = groups.join(agreeing, ["leaf", "masked"], "left_anti")
-    before = groups.groupBy("group").agg(F.count(F.lit(1)).alias("before"))
+    rest = groups.join(agreeing, ["leaf", "masked"], "left_anti").drop("total")
+    rest = rest.withColumnRenamed("n", "before")
     totals = rest.groupBy("group").agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
-    totals = totals.where((F.col("total") >= least_documents) & (F.col("n") > 1)).join(before, "group")
+    totals = totals.where((F.col("total") >= least_documents) & (F.col("n") > 1))
     rest = stored(rest.join(totals, "group"), "rest-lines")
     held = rest.select("group", "leaf", "masked", "docs", "total", F.posexplode("tokens").alias("at", "token"))
     frequent = (
@@ -194,13 +215,14 @@ def _resplit(groups: DataFrame, agreeing: DataFrame, least_documents: int) -> Da
     )
     finer = stored(finer, "finer-lines")
     several = finer.groupBy("group").agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
-    several = several.where((F.col("total") >= least_documents) & (F.col("n") > 1)).select("group")
-    return stored(finer.join(several, "group", "left_semi"), "open-lines")
+    several = several.where((F.col("total") >= least_documents) & (F.col("n") > 1))
+    return stored(finer.join(several, "group"), "open-lines")
 
 
 def recurring_templates(
     docs: DataFrame,
     places: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     least_documents: int = LEAST_DOCUMENTS,
     least_tokens: int = LEAST_TOKENS,
@@ -229,58 +251,41 @@ def recurring_templates(
     )
 
     # Leaves that may hold a template of several variants; only their lines' texts are kept.
-    leaves = (
+    # Unmasked lines are alone in their leaves, so their texts are not needed.
+    leaves = stored(
         variants.groupBy("leaf")
         .agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("total") >= least_documents) & (F.col("n") > 1))
-        .select("leaf", "total")
-    )
-    # Unmasked lines are alone in their leaves, so their texts are not needed.
-    lines = docs.select(F.explode(lines_of(text_or_empty(text_col))).alias("line"))
-    texts = (
-        _general_lines(lines, least_tokens)
-        .join(leaves.select("leaf"), "leaf", "left_semi")
-        .select("leaf", F.explode(F.array(_masked(F.col("spaced")))).alias("general"))
-        .where(_words(F.col("general")) >= least_tokens)
-        .distinct()
-    )
-    tokens = texts.select(
-        "leaf", F.xxhash64("general").alias("masked"), F.split("general", " ").alias("tokens")
+        .where((F.col("total") >= least_documents) & (F.col("n") > 1)),
+        "leaves",
     )
-    lines = tokens.join(variants.drop("first"), ["leaf", "masked"])
+    # The text of a variant is read at one of its places.
+    place = F.min(F.struct("doc", "content", "at")).alias("place")
+    wanted = places.join(leaves.select("leaf"), "leaf", "left_semi").groupBy("leaf", "masked").agg(place)
+    texts = _general_lines(docs, id_col, text_col, wanted.select("place.*"))
+    lines = texts.join(variants.drop("first").join(leaves, "leaf"), ["leaf", "masked"])
     groups = stored(lines.withColumn("group", F.col("leaf")), "open-lines")
-    agreeing = [_agreeing(groups, leaves.withColumnRenamed("leaf", "group"), similarity)]
+    agreeing = [_agreeing(groups, similarity)]
     while not (groups := _resplit(groups, agreeing[-1], least_documents)).isEmpty():
         release(docs.sparkSession)
-        totals = groups.groupBy("group").agg(F.sum("docs").alias("total"))
-        agreeing.append(_agreeing(groups, totals, similarity))
-    named = variants.join(reduce(DataFrame.unionByName, agreeing), ["leaf", "masked"], "left")
-    named = named.select(
-        "leaf",
-        "masked",
-        "docs",
-        "first",
-        F.coalesce("template", "masked").alias("template"),
-        F.col("template").isNotNull().alias("general"),
-    )
-    # A document may hold several variants of one template; only those need a recount.
+        agreeing.append(_agreeing(groups, similarity))
+    general = reduce(DataFrame.unionByName, agreeing)
+    # A document may hold several variants of one template, so those are counted anew.
     recount = (
-        in_docs.join(named.where("general").select("leaf", "masked", "template"), ["leaf", "masked"])
-        .select("template", "doc")
+        places.join(general, ["leaf", "masked"])
+        .select("template", F.col("holder").alias("doc"))
         .distinct()
         .groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
     )
-    general = (
-        named.where("general")
-        .drop("docs", "first")
-        .join(recount, "template")
-        .select("leaf", "masked", "template", "docs", "first")
-    )
-    single = named.where("NOT general").select("leaf", "masked", "template", "docs", "first")
+    least = F.when(_long(), min(LEAST_LONG, least_documents)).otherwise(least_documents)
+    recurs = F.col("docs") >= least
+    single = variants.where(recurs).join(general, ["leaf", "masked"], "left_anti")
+    columns = ["leaf", "masked", "template", "docs", "first"]
     return (
-        general.unionByName(single)
-        .where(F.col("docs") >= F.when(_long(), min(LEAST_LONG, least_documents)).otherwise(least_documents))
+        general.join(recount, "template")
+        .where(recurs)
+        .select(columns)
+        .unionByName(single.withColumn("template", F.col("masked")).select(columns))
         .withColumnRenamed("docs", "documents")
     )
 
@@ -311,7 +316,7 @@ def drop_recurring_lines(
     places = _held(places, copies)
     release(docs.sparkSession)
     templates = stored(
-        recurring_templates(docs, places, text_col, least_documents, least_tokens, similarity),
+        recurring_templates(docs, places, id_col, text_col, least_documents, least_tokens, similarity),
         "templates",
     )
     release(docs.sparkSession)
@@ -333,8 +338,8 @@ def drop_recurring_lines(
     )
     lines = lines_of(column(text_col))
     every = F.sequence(F.lit(0), F.size(lines) - 1)
-    left = F.transform(F.array_except(every, "gone"), lambda i: F.get(lines, i))
-    joined = rows.join(gone, same, "left").select("row.*", "gone")
+    left = _lines_at(column(text_col), F.array_except(every, "gone"))
+    joined = rows.join(gone.hint("shuffle_hash"), same, "left").select("row.*", "gone")
     return joined.withColumns(
         {
             text_col: F.when(F.col("gone").isNull(), column(text_col)).otherwise(

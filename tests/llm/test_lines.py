@@ -1,5 +1,7 @@
 """Recurring lines that op9 and the pipeline's line stage must drop."""
 
+import time
+
 import brute
 import corpus_pipeline as pipeline
 from conftest import words
@@ -83,3 +85,13 @@ def test_no_lines(documents, spark, tmp_path):
     rows.coalesce(1).write.parquet(f"{tmp_path}/odd/documents.parquet")
     got = {(r["doc_id"], tuple(r["dropped_lines"])) for r in Q.op9_template_tree(spark, f"{tmp_path}/odd").collect()}
     assert got == {(1, ()), (2, ()), (3, ()), (4, ()), (5, (0,)), (6, (0,)), (7, (0,))}
+
+
+def test_documents_of_very_many_lines(documents, spark, tmp_path):
+    """A text is split once, not once for each of its lines; the former code took minutes."""
+    own = [words(6 * i, 6) for i in range(24_000)]
+    rows = [(i, "\n".join(["Line of many", *own[6000 * i :][:6000], "the end of it"] * 5)) for i in range(4)]
+    began = time.monotonic()
+    got = dropped(spark, documents(*rows), tmp_path)
+    assert time.monotonic() - began < 120
+    assert [len(got[i]) for i in range(4)] == [0, 10, 10, 10]
