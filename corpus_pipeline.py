@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     NULL texts stay NULL, empty ones empty; rows that share an id count as one document; an
     empty table stays empty; all columns stay, whatever their names.
     """
-    copies = near_duplicates(docs).select(
+    copies = near_duplicates(docs, native=True).select(
         F.col("doc_id").alias("doc"), F.col("component_id").alias("group")
     )
     found = drop_recurring_lines(docs, short_lines=True, copies=copies)

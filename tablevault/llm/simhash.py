@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablevault.functions.columns import column
-from tablevault.llm.common import python_tasks, release, stored, text_or_empty
+from tablevault.llm.common import ascii_lower, python_tasks, release, stored, text_or_empty
 from tablevault.llm.components import components
 
 SHINGLE = 4
@@ -96,6 +97,49 @@ def fingerprints(
     return rows.mapInArrow(hashed, "id long, fp long")
 
 
+def column_fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
+    """`fingerprints` by column expressions alone: (id, fp) once per id and text.
+
+    Spark's xxhash64 of a text is its XXH64 by the seed 42. A shingle is a row of generated
+    code; two bits of its hash go into the halves of each of 32 sums, so a text may have two
+    billion shingles. Rows that repeat double all counts, which changes no bit. The words of a
+    text are held in memory at once, here and in no other step.
+    """
+    text = text_or_empty(text_col)
+    rows = docs.select(
+        column(id_col).cast("long").alias("id"),
+        F.xxhash64(text).alias("content"),
+        F.array_remove(F.split(ascii_lower(text), r"[\x20\x09-\x0D]+"), "").alias("words"),
+    )
+    size = F.size("words")
+    # Words beside their next ones; a text of fewer words than a shingle is its first entry.
+    beside = F.arrays_zip(
+        F.col("words").alias("w0"),
+        *[F.slice("words", F.lit(i + 1), size).alias(f"w{i}") for i in range(1, shingle)],
+    )
+    starts = F.slice(beside, F.lit(1), F.greatest(size - (shingle - 1), F.lit(1)))
+    names = [f"w{i}" for i in range(shingle)]
+    shingles = rows.select("id", "content", F.inline_outer(starts).alias(*names)).select(
+        "id",
+        "content",
+        # Without words, no bit is set.
+        F.when(F.col("w0").isNull(), F.lit(0)).otherwise(F.xxhash64(F.concat_ws(" ", *names))).alias("h"),
+    )
+    ends = F.lit((1 << 32) + 1)
+    sums = [
+        F.sum(F.shiftrightunsigned("h", i).bitwiseAND(ends)).alias(f"s{i}") for i in range(32)
+    ]
+    counted = shingles.groupBy("id", "content").agg(F.count(F.lit(1)).alias("total"), *sums)
+
+    def bit(i: int) -> Column:
+        count = F.shiftright(f"s{i % 32}", 32) if i >= 32 else F.col(f"s{i}").bitwiseAND(F.lit((1 << 32) - 1))
+        return F.when(2 * count > F.col("total"), F.lit(_signed(1 << i))).otherwise(F.lit(0))
+
+    return counted.select("id", reduce(Column.bitwiseOR, [bit(i) for i in range(64)]).alias("fp"))
+
+
 def embedded(fp: Column) -> Column:
     """The bit counts of a fingerprint's segments, packed into one bigint.
 
@@ -161,6 +205,7 @@ def classes(points: DataFrame, distance: int = DISTANCE, groups: int = GROUPS) -
     first = shared.where((F.col("fp") != F.col("hub")) & (_apart("fp", "hub") <= distance))
     joined = components(first.select(F.col("fp").alias("u"), F.col("hub").alias("v")))
     joined = stored(joined, "joined")
+    release(points.sparkSession)
 
     near = shared.select("fp").distinct()
     parts = near.join(joined, near["fp"] == joined["node"], "left").select(
@@ -201,15 +246,19 @@ def near_duplicates(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
     groups: int = GROUPS,
+    native: bool = False,
 ) -> DataFrame:
     """Group documents whose SimHash fingerprints are linked by chains of close ones.
 
     One row per input row: id, `fp` (signed bigint) and `component_id`, the least id that is
     reachable. Defined cases: NULL and wordless texts have fingerprint 0 and are linked like
     any other; rows with a NULL id are members but never name a component unless all its
-    ids are NULL; rows that repeat are members of one component; other columns are not read.
+    ids are NULL; rows that repeat are members of one component; other columns are not read. With `native`, no
+    Python runs in tasks, and rows of one id and text are one row.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    hashed = column_fingerprints if native else fingerprints
+    rows = stored(hashed(docs, id_col, text_col, shingle), "fingerprints")
+    release(docs.sparkSession)
     found = stored(classes(rows, distance, groups), "classes")
     release(docs.sparkSession)
     # Ids go down to one row per fingerprint before they meet the classes.

@@ -6,7 +6,10 @@ import brute
 import corpus_pipeline as pipeline
 import public_tokenizers
 import tiktoken
+from conftest import words
+from pyspark.sql import DataFrame
 
+from tablevault.llm import simhash
 from tablevault.llm.common import stored, table
 
 SF = "/root/testdata/sf0.001"
@@ -60,3 +63,18 @@ def test_stages(spark):
     for doc, row in rows.items():
         assert tokens[doc]["ids"] == reference.encode_ordinary(row["text"])
         assert tokens[doc]["decoded_sha256"] == brute.sha(row["text"])
+
+
+def test_line_dedup_runs_no_python_in_tasks(spark, documents, monkeypatch):
+    ran = []
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda *a, **k: ran.append(a))
+    lines = dict(pipeline.STAGES)["line_dedup"](spark, documents((1, words(0, 60)), (2, words(0, 60) + " end"), (3, None)), "")
+    assert lines.count() == 3 and not ran
+
+
+def test_fingerprints_by_columns_are_those_of_op3(spark, documents):
+    odd = ["", None, " \t\n", "One", "one TWO three", "Ä ÖÜ ß X\x0bY\x0cZ\rQ", "a b c d", "a B c D e F g", words(0, 70_000)]
+    rows = documents(*enumerate(odd), (3, "one"), (3, "other words of the same id"), (None, "no id"), (4, odd[4]))
+    rows = rows.unionByName(table(spark, SF, "documents").select(rows.columns))
+    native = {(r["id"], r["fp"]) for r in simhash.column_fingerprints(rows).collect()}
+    assert native == {(r["id"], r["fp"]) for r in simhash.fingerprints(rows).collect()}
